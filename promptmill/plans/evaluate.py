@@ -29,12 +29,13 @@ def evaluation_items(
     """
     rec, raw = F.col("rec"), F.col("raw")
     if mode == "safe":
-        prompt = template.prompt(
-            evaluation_context(rec, template.variables, raw), chat_format, add_generation_prompt=True
-        )
+        context = evaluation_context(rec, template.variables, raw)
+        prompt = template.prompt(context, chat_format, add_generation_prompt=True)
     elif mode == "raw":
-        rendered = template.render_raw(evaluation_context(rec, template.variables, raw, python_text=True))
-        prompt = prompt_text(messages_from_text(rendered), chat_format, add_generation_prompt=True)
+        context = evaluation_context(rec, template.variables, raw, python_text=True)
+        records = records.withColumn("rendered", template.render_raw(context))
+        messages = messages_from_text(F.col("rendered"))
+        prompt = prompt_text(messages, chat_format, add_generation_prompt=True)
     else:
         raise ValueError(f"mode must be 'safe' or 'raw', not {mode!r}")
     return records.select(
