@@ -6,11 +6,33 @@ VARIANT; a struct type inferred from the data could not hold them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Text forms shared by a falsy JSON value and by some non-empty strings.
-_FALSY_TEXT = r"^(false|\[\]|\{\}|-?0(\.0*)?([eE][+-]?[0-9]+)?)$"
+# Text of booleans and of zero: the same text can be a string.
+_OTHER_TEXT = r"^(true|false|-?0(\.0*)?([eE][+-]?[0-9]+)?)$"
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it.
+
+    Inside conditions the optimizer does not share common parts of expressions; a bound variable
+    does.
+    """
+    return F.transform(F.array(value), body).getItem(0)
+
+
+def _marked_parse(text: Column, mark: Column) -> Column:
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark, F.lit("]")))
+
+
+def _only_value(parsed: Column, mark: Column) -> Column:
+    exact = (F.try_variant_get(parsed, "$[1]", "bigint") == mark) & F.variant_get(
+        parsed, "$[2]", "variant"
+    ).isNull()
+    return F.when(exact, F.variant_get(parsed, "$[0]", "variant"))
 
 
 def strict_json(text: Column) -> Column:
@@ -18,19 +40,21 @@ def strict_json(text: Column) -> Column:
 
     The parser stops after the first value and ignores what follows.  Parsing ``[text, h]`` with
     ``h`` a hash of the text makes trailing garbage visible: the array then ends early, or has a
-    wrong length, or does not parse.  One parse is enough; the one-element ``transform`` keeps
-    the optimizer from repeating it for each use.
+    wrong length, or does not parse.  One parse is enough.
     """
     mark = F.xxhash64(text)
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark, F.lit("]")))
+    return let(_marked_parse(text, mark), lambda parsed: _only_value(parsed, mark))
 
-    def only_value(p: Column) -> Column:
-        exact = (F.try_variant_get(p, "$[1]", "bigint") == mark) & F.variant_get(
-            p, "$[2]", "variant"
-        ).isNull()
-        return F.when(exact, F.variant_get(p, "$[0]", "variant"))
 
-    return F.transform(F.array(wrapped), only_value).getItem(0)
+def with_strict_json(df: DataFrame, text: Column, name: str) -> DataFrame:
+    """Add :func:`strict_json` as a column, in steps that stay inside generated code.
+
+    The generator at the end keeps later filters from being turned into a second parse.
+    """
+    steps = df.withColumn("_text", text).withColumn("_mark", F.xxhash64("_text"))
+    steps = steps.withColumn("_parsed", _marked_parse(F.col("_text"), F.col("_mark")))
+    value = _only_value(F.col("_parsed"), F.col("_mark"))
+    return steps.select(*df.columns, F.explode(F.array(value)).alias(name))
 
 
 def field(record: Column, key: str) -> Column:
@@ -47,11 +71,7 @@ def field_path(key: str) -> str:
 
 
 def is_object(v: Column) -> Column:
-    return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
-
-
-def is_array(v: Column) -> Column:
-    return F.try_variant_get(v, "$", "array<variant>").isNotNull()
+    return F.try_variant_get(v, "$", "struct<a:variant>").isNotNull()
 
 
 def as_array(v: Column) -> Column:
@@ -60,26 +80,64 @@ def as_array(v: Column) -> Column:
 
 
 def is_json_string(v: Column) -> Column:
-    return F.startswith(F.to_json(v), F.lit('"'))
+    return F.schema_of_variant(v) == "STRING"
 
 
-def truthy(v: Column) -> Column:
-    """False for missing, null, ``""``, 0, false, ``[]`` and ``{}``; true for all else.
+def as_text(v: Column) -> Column:
+    """Text as the variant itself prints; NULL for a missing value and for JSON null."""
+    return F.try_variant_get(v, "$", "string")
 
-    Most values are decided by their text alone.  Only a text such as ``0`` or ``[]``, which a
-    string and a falsy value share, needs the JSON form as well.
+
+def _nested(v: Column) -> Column:
+    return as_array(v).isNotNull() | is_object(v)
+
+
+def _may_differ(text: Column) -> Column:
+    """Whether the text could be that of something other than a truthy string.
+
+    Looks at the first character and the length first, so long texts cost nothing.
     """
-    text = F.try_variant_get(v, "$", "string")
-    return F.coalesce(
-        (text != "") & (~F.rlike(text, F.lit(_FALSY_TEXT)) | is_json_string(v)), F.lit(False)
+    return F.substring(text, 1, 1).isin("[", "{") | (
+        (F.octet_length(text) <= 40) & F.rlike(text, F.lit(_OTHER_TEXT))
     )
 
 
+def pick_text(
+    record: Column, path: str, truthy_only: bool, nested_source: Column | None = None
+) -> Column:
+    """A field as text: strings as they are, ``True``/``False``, numbers, nested values as JSON.
+
+    NULL for missing and null and, with ``truthy_only``, for every falsy value.
+    ``nested_source`` replaces the JSON of nested values.  One extraction decides nearly every
+    row; the value's type is only looked at when its text is ambiguous.
+    """
+    v = F.try_variant_get(record, path, "variant")
+
+    def of_text(text: Column) -> Column:
+        plain = F.when(text != "", text) if truthy_only else text
+        in_brackets = F.substring(text, 1, 1).isin("[", "{")
+        nested = text if nested_source is None else nested_source
+        if truthy_only:
+            nested = F.when(~text.isin("[]", "{}"), nested)
+        scalar = F.when(text == "true", F.lit("True"))
+        scalar = scalar if truthy_only else scalar.when(text == "false", F.lit("False")).otherwise(text)
+        return (
+            F.when(~_may_differ(text), plain)
+            .when(in_brackets, F.when(_nested(v), nested).otherwise(text))
+            .otherwise(F.when(is_json_string(v), text).otherwise(scalar))
+        )
+
+    return let(F.try_variant_get(record, path, "string"), of_text)
+
+
+def truthy(v: Column) -> Column:
+    """False for missing, null, ``""``, 0, false, ``[]`` and ``{}``; true for all else."""
+    return pick_text(v, "$", truthy_only=True).isNotNull()
+
+
 def text_of(v: Column) -> Column:
     """Text of a value: strings as they are, booleans ``True``/``False``, nested values as JSON.
 
     NULL for a missing key and for JSON null.
     """
-    text = F.try_variant_get(v, "$", "string")
-    is_bool = text.isin("true", "false") & ~is_json_string(v)
-    return F.when(is_bool, F.initcap(text)).otherwise(text)
+    return pick_text(v, "$", truthy_only=False)

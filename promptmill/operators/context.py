@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Mapping, Sequence
+import operator
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.text import py_strip
-from ..functions.variants import field, field_path, text_of, truthy
+from ..functions.variants import as_text, field, field_path, is_json_string, let, pick_text, text_of, truthy
 
 # Field names that stand for each variable, first non-empty one wins.
 QUESTION_KEYS = ("question", "NATURAL_LANGUAGE_QUESTION", "natural_language_question")
@@ -24,14 +26,21 @@ EXPECTED_KEYS = ("answer", "sql")
 
 @dataclass(frozen=True)
 class Value:
-    """A context value: its text (NULL stands for null) and whether a condition holds for it."""
+    """A context value: its text (NULL stands for null) and whether a condition holds for it.
+
+    The condition is only built when a template asks for it.
+    """
 
     text: Column
-    truthy: Column
+    holds: Callable[[], Column]
+
+    @property
+    def truthy(self) -> Column:
+        return self.holds()
 
     @classmethod
     def of_text(cls, text: Column) -> Value:
-        return cls(text, F.coalesce(text != "", F.lit(False)))
+        return cls(text, lambda: F.coalesce(text != "", F.lit(False)))
 
 
 Context = Mapping[str, Value]
@@ -44,21 +53,37 @@ def _python_text(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield texts.map(lambda t: None if t is None else str(json.loads(t)), na_action="ignore")
 
 
+def _source(raw: Column | None, key: str) -> Column | None:
+    """The JSON of a field in the record's own text, with its key order and digits."""
+    return None if raw is None else F.get_json_object(raw, field_path(key))
+
+
+def _json_source(rec: Column, key: str, raw: Column) -> Column:
+    """The JSON source of a number, list or object; NULL for all else."""
+
+    def of_text(text: Column) -> Column:
+        looks_so = F.substring(text, 1, 1).isin(*"-0123456789[{I")
+        return F.when(looks_so & ~is_json_string(field(rec, key)), _source(raw, key))
+
+    return let(as_text(field(rec, key)), of_text)
+
+
+def _as_python(text: Column, json_source: Column) -> Column:
+    """Print numbers, lists and objects the way Python does: a Python step for those only."""
+    return F.coalesce(_python_text(json_source), text)
+
+
 def value_text(rec: Column, key: str, raw: Column | None = None, python_text: bool = False) -> Column:
-    """Text of one field.
+    """Text of one field, null when it is missing or null.
 
     Values other than strings print as JSON.  With the record's JSON text ``raw`` at hand nested
     values keep their key order; with ``python_text`` on top, numbers and nested values print the
-    way Python prints them (a Python worker step, for those values only).
+    way Python prints them.
     """
-    v = field(rec, key)
-    if raw is None:
-        return text_of(v)
-    source = F.get_json_object(raw, field_path(key))
-    has_json_text = F.rlike(F.to_json(v), F.lit(r"^[-0-9\[{]"))
-    if python_text:
-        return F.when(has_json_text, _python_text(F.when(has_json_text, source))).otherwise(text_of(v))
-    return F.when(F.rlike(F.to_json(v), F.lit(r"^[\[{]")), source).otherwise(text_of(v))
+    text = pick_text(rec, field_path(key), False, _source(raw, key))
+    if not python_text or raw is None:
+        return text
+    return _as_python(text, _json_source(rec, key, raw))
 
 
 def first_truthy(
@@ -68,24 +93,31 @@ def first_truthy(
     raw: Column | None = None,
     python_text: bool = False,
 ) -> Value:
-    """The first field that is not empty in the sense of :func:`truthy`.
+    """The first field that is not empty in the sense of ``truthy``.
 
     With no ``default`` the last field is the answer whatever it holds, so it may be null, 0 or
     an empty list; a missing one gives null.
     """
-
-    def text(key: str) -> Column:
-        return value_text(rec, key, raw, python_text)
-
-    guarded = keys if default is not None else keys[:-1]
-    branches = [F.when(truthy(field(rec, k)), text(k)) for k in guarded]
-    last = F.lit(default) if default is not None else text(keys[-1])
-    holds = truthy(field(rec, keys[0]))
-    for k in keys[1:]:
-        holds = holds | truthy(field(rec, k))
-    if default:
-        holds = F.lit(True)
-    return Value(F.coalesce(*branches, last), holds)
+    guarded = [pick_text(rec, field_path(k), True, _source(raw, k)) for k in keys]
+    if default is not None:
+        text = F.coalesce(*guarded, F.lit(default))
+        # No truthy value prints as nothing.
+        holds = partial(operator.ne, text, "")
+    else:
+        last = pick_text(rec, field_path(keys[-1]), False, _source(raw, keys[-1]))
+        text = F.coalesce(*guarded[:-1], last)
+        holds = F.coalesce(*guarded).isNotNull
+    if python_text and raw is not None:
+        # The JSON source of the field that was chosen, not of a later one: a chosen string has none.
+        source = F.lit(None).cast("string")
+        for i, k in reversed(list(enumerate(keys))):
+            json_source = _json_source(rec, k, raw)
+            if i == len(keys) - 1 and default is None:
+                source = json_source
+            else:
+                source = F.when(truthy(field(rec, k)), json_source).otherwise(source)
+        text = _as_python(text, source)
+    return Value(text, holds)
 
 
 def training_context(rec: Column, raw: Column | None = None, python_text: bool = False) -> dict[str, Value]:
@@ -108,9 +140,10 @@ def evaluation_context(
     """The named fields and no aliases: a missing one is empty text, a null one stays null."""
     context = {}
     for name in variables:
-        v = field(rec, name)
-        text = F.when(v.isNull(), F.lit("")).otherwise(value_text(rec, name, raw, python_text))
-        context[name] = Value(text, truthy(v))
+        text = value_text(rec, name, raw, python_text)
+        # Only a value without text can be missing rather than null.
+        missing = F.when(field(rec, name).isNull(), F.lit(""))
+        context[name] = Value(F.coalesce(text, missing), partial(truthy, field(rec, name)))
     return context
 
 

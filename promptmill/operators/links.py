@@ -7,9 +7,14 @@ condition, behind a comma, is not seen.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.variants import let
+
 # Fixed patterns for SQL text.
 _QUOTED_OR_NOISE = r"""("(?:[^"]|"")*+")|'[^']*+(?:''[^']*+)*+'|--[^\n]*|/\*[\s\S]*?\*/"""
 _FROM_IN_CALL = r"(?i)\b(extract|substring|trim|overlay)\s*\(([^()]*?)\bfrom\b"
@@ -25,11 +30,25 @@ _CTE = rf"(?i)(?:\bwith\b(?:\s+recursive\b)?|,)\s*({_NAME})\s*(?:\([^()]*\)\s*)?
 _READ_ONLY = r"(?i)^[\s(]*(?:select|with)\b"
 
 
+def _if_any(text: Column, words: tuple[str, ...], then: Column, otherwise: Column) -> Column:
+    """Run a pattern only on texts that hold one of the words it needs."""
+    found = reduce(or_, [F.contains(text, F.lit(w)) for w in words])
+    return F.when(found, then).otherwise(otherwise)
+
+
 def _plain(sql: Column) -> Column:
     """The statement without comments, string literals and FROMs that name no table."""
-    text = F.regexp_replace(sql, _QUOTED_OR_NOISE, "$1 ")
-    text = F.regexp_replace(text, _FROM_IN_CALL, "$1($2, ")
-    return F.regexp_replace(text, _DISTINCT_FROM, "= ")
+
+    def without_other_froms(text: Column) -> Column:
+        def of_lower(lower: Column) -> Column:
+            calls = F.regexp_replace(text, _FROM_IN_CALL, "$1($2, ")
+            called = _if_any(lower, ("extract", "substring", "trim", "overlay"), calls, text)
+            return _if_any(lower, ("distinct",), F.regexp_replace(called, _DISTINCT_FROM, "= "), called)
+
+        return let(F.lower(text), of_lower)
+
+    clean = _if_any(sql, ("'", '"', "--", "/*"), F.regexp_replace(sql, _QUOTED_OR_NOISE, "$1 "), sql)
+    return let(clean, without_other_froms)
 
 
 def _last_name(name: Column) -> Column:
@@ -48,9 +67,9 @@ def table_names(sql: Column) -> Column:
         items = F.flatten(F.transform(lists, lambda t: F.split(t, ",")))
         named = F.transform(items, lambda t: _last_name(F.regexp_extract(t, _FIRST_NAME, 1)))
         ctes = F.transform(F.regexp_extract_all(text, F.lit(_CTE), F.lit(1)), _last_name)
-        return F.array_except(named, ctes)
+        return _if_any(F.lower(text), ("with",), F.array_except(named, ctes), F.array_distinct(named))
 
-    return F.transform(F.array(_plain(sql)), of_plain).getItem(0)
+    return let(_plain(sql), of_plain)
 
 
 def check_links(statements: DataFrame, catalog: DataFrame, sql: str = "sql") -> DataFrame:

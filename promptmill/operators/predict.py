@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.variants import let
 from ..sources.config import ModelSpec
 
 # Prompts and a cap on generated tokens in, completions out.
@@ -48,10 +49,10 @@ def generate(
     answer = F.pandas_udf(run, "string").asNondeterministic()(prompt)
     if not echoes_prompt:
         return answer
-    return F.transform(
-        F.array(answer),
+    return let(
+        answer,
         lambda a: F.when(F.startswith(a, prompt), a.substr(F.length(prompt) + 1, F.length(a))).otherwise(a),
-    ).getItem(0)
+    )
 
 
 def predict_roster(

@@ -16,7 +16,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.chat import MESSAGES_TYPE, ChatFormat, prompt_from_turns
-from ..functions.variants import as_array, field, is_object, strict_json
+from ..functions.variants import as_array, field, is_object, let, strict_json
 from ..sources.chat import normalize_messages
 from .context import Context
 
@@ -200,7 +200,7 @@ def messages_from_text(rendered: Column, on_error: str = "fail") -> Column:
         )
         return F.when(sound, normalize_messages(items)).otherwise(failed)
 
-    return F.transform(F.array(strict_json(rendered)), read).getItem(0)
+    return let(strict_json(rendered), read)
 
 
 def is_valid_render(rendered: Column) -> Column:

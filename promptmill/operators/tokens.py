@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.variants import let
+
 # Words, or single characters that are neither letter, digit nor space.
 WORD_PATTERN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_ \t\r\n]"
 
@@ -90,15 +92,14 @@ def tokenize(
     """
     if pad_id is not None and max_length is None:
         raise ValueError("padding to the maximum needs max_length")
-    # The one-element transform computes the ids once, however often they are used below.
-    packed = F.transform(
-        F.array(truncate(ids, max_length)),
+    packed = let(
+        truncate(ids, max_length),
         lambda x: F.struct(
             (x if pad_id is None else pad(x, max_length, pad_id)).alias("input_ids"),
             (mask(x) if pad_id is None else pad(mask(x), max_length, 0)).alias("attention_mask"),
             F.size(x).alias("n_tokens"),
         ),
-    ).getItem(0)
+    )
     out = df.select(*keep, packed.alias("t")).select(
         *keep, "t.input_ids", "t.attention_mask", "t.n_tokens"
     )

@@ -10,32 +10,53 @@ from pyspark.sql import functions as F
 
 from ..functions.chat import MESSAGES_TYPE
 from ..functions.text import is_blank, py_strip
-from ..functions.variants import as_array, field, is_object, strict_json
+from ..functions.variants import as_array, as_text, is_object, let, with_strict_json
 from .records import PROVENANCE, line_numbers, read_lines
 
 MALFORMED, NON_OBJECT = "malformed", "non_object"
 NO_MESSAGES, INVALID_MESSAGE = "no_messages", "invalid_message"
 
 
-def _text_field(message: Column, key: str) -> Column:
+def _field_text(value: Column) -> Column:
     """Missing key: empty text.  JSON null: null."""
-    value = field(message, key)
-    return F.when(value.isNull(), F.lit("")).otherwise(F.try_variant_get(value, "$", "string"))
+    return F.when(value.isNull(), F.lit("")).otherwise(as_text(value))
 
 
-def normalize_messages(items: Column) -> Column:
-    """``array<variant>`` to ``array<struct<role, content>>``; items that are no objects go."""
+def _objects(items: Column) -> Column:
+    """The items that are objects, as (role, content) structs of JSON values."""
+    fields = F.transform(items, lambda m: F.try_variant_get(m, "$", "struct<role:variant,content:variant>"))
+    return F.filter(fields, lambda m: m.isNotNull())
+
+
+def _as_messages(objects: Column) -> Column:
     return F.transform(
-        F.filter(items, is_object),
+        objects,
         lambda m: F.struct(
-            _text_field(m, "role").alias("role"), _text_field(m, "content").alias("content")
+            _field_text(m["role"]).alias("role"), _field_text(m["content"]).alias("content")
         ),
     )
 
 
+def normalize_messages(items: Column) -> Column:
+    """``array<variant>`` to ``array<struct<role, content>>``; items that are no objects go."""
+    return _as_messages(_objects(items))
+
+
 def _conversation(rec: Column) -> Column:
     """The message items of one record: of the object's ``messages``, or the bare list itself."""
-    return F.coalesce(as_array(rec), as_array(field(rec, "messages")))
+    return F.coalesce(F.try_variant_get(rec, "$.messages", "array<variant>"), as_array(rec))
+
+
+def _outcome(
+    reason: str | None, messages: Column, no_messages: bool = False, n_invalid: Column | None = None
+) -> Column:
+    return F.struct(
+        F.lit("kept" if reason is None else "rejected").alias("status"),
+        F.lit(reason).cast("string").alias("reason"),
+        messages.cast(MESSAGES_TYPE).alias("messages"),
+        F.lit(no_messages).alias("no_messages"),
+        (F.lit(0) if n_invalid is None else n_invalid).alias("n_invalid"),
+    )
 
 
 def parse_chat(lines: DataFrame) -> DataFrame:
@@ -46,44 +67,35 @@ def parse_chat(lines: DataFrame) -> DataFrame:
     ``messages``, ``no_messages``, ``n_invalid`` (dropped message items) and, for rejected
     lines only, their text ``line``.
     """
+    nothing = F.lit(None)
+
+    def of_items(rec: Column, items: Column) -> Column:
+        return F.when(
+            items.isNotNull(),
+            let(
+                _objects(items),
+                lambda objects: _outcome(
+                    None, _as_messages(objects), n_invalid=F.size(items) - F.size(objects)
+                ),
+            ),
+        ).otherwise(
+            F.when(is_object(rec), _outcome(None, F.array(), no_messages=True)).otherwise(
+                _outcome(NON_OBJECT, nothing)
+            )
+        )
 
     def outcome(rec: Column) -> Column:
-        items = _conversation(rec)
-        is_record = as_array(rec).isNotNull() | is_object(rec)
-        kept = F.transform(
-            F.array(items),
-            lambda found: F.struct(
-                F.lit(None).cast("string").alias("reason"),
-                F.coalesce(normalize_messages(found), F.array().cast(MESSAGES_TYPE)).alias("messages"),
-                found.isNull().alias("no_messages"),
-                F.coalesce(F.size(F.filter(found, lambda m: ~is_object(m))), F.lit(0)).alias("n_invalid"),
-            ),
-        ).getItem(0)
-        return F.when(rec.isNull(), _refused(MALFORMED)).when(~is_record, _refused(NON_OBJECT)).otherwise(kept)
+        return F.when(rec.isNull(), _outcome(MALFORMED, nothing)).otherwise(
+            let(_conversation(rec), lambda items: of_items(rec, items))
+        )
 
     passed_through = [c for c in lines.columns if c != "value"]
-    parsed = F.transform(F.array(strict_json(py_strip(F.col("value")))), outcome).getItem(0)
+    worded = lines.filter(~is_blank(F.col("value")))
+    parsed = with_strict_json(worded, py_strip(F.col("value")), "_rec")
     return (
-        lines.filter(~is_blank(F.col("value")))
-        .withColumn("parsed", parsed)
-        .select(
-            *passed_through,
-            F.when(F.col("parsed.reason").isNull(), "kept").otherwise("rejected").alias("status"),
-            "parsed.reason",
-            "parsed.messages",
-            "parsed.no_messages",
-            "parsed.n_invalid",
-            F.when(F.col("parsed.reason").isNotNull(), F.col("value")).alias("line"),
-        )
-    )
-
-
-def _refused(reason: str) -> Column:
-    return F.struct(
-        F.lit(reason).alias("reason"),
-        F.lit(None).cast(MESSAGES_TYPE).alias("messages"),
-        F.lit(False).alias("no_messages"),
-        F.lit(0).alias("n_invalid"),
+        parsed.select(*passed_through, "value", F.inline(F.array(outcome(F.col("_rec")))))
+        .withColumn("line", F.when(F.col("status") == "rejected", F.col("value")))
+        .drop("value")
     )
 
 

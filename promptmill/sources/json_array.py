@@ -24,8 +24,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A string literal, closed or running on to the end of the text.
-_STRING = re.compile(r'"[^"\\]*(?:\\(?:.|\Z)[^"\\]*)*("|\Z)', re.S)
 _ESCAPE = re.compile(r"\\.", re.S)
 _JSON_SPACE = " \t\n\r"
 
@@ -42,19 +40,19 @@ _PART = (
 )
 
 
-def _balance(piece: str, in_string: bool) -> int:
-    """Brackets opened minus brackets closed, outside strings."""
-    outside = _STRING.sub("", '"' + piece if in_string else piece)
-    return outside.count("{") + outside.count("[") - outside.count("]")
+def _outside(piece: str) -> tuple[str, str, bool]:
+    """The text outside strings, if the piece starts outside or inside one, and whether it flips.
 
+    In valid JSON a backslash only occurs inside strings, so escapes can go first; each quote
+    left is then a real one, whatever the state before.
+    """
+    parts = (_ESCAPE.sub("", piece) if "\\" in piece else piece).split('"')
+    return "".join(parts[0::2]), "".join(parts[1::2]), len(parts) % 2 == 0
 
-def _flips(piece: str) -> bool:
-    """Whether the piece changes between inside and outside a string.
 
-    In valid JSON a backslash only occurs inside strings, so the count of quotes without a
-    backslash in front does not depend on the state before.
-    """
-    return _ESCAPE.sub("", piece).count('"') % 2 == 1
+def _balance(text: str) -> int:
+    """Brackets opened minus brackets closed; no piece holds a closing brace."""
+    return text.count("{") + text.count("[") - text.count("]")
 
 
 def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[bool, tuple, pd.DataFrame]]:
@@ -78,11 +76,11 @@ def _split_summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         row = rows[-1]
         flipped = bool(row[4])
         for piece in run["value"]:
-            flips = _flips(piece)
-            # Both possible start states: outside a string, inside one.
+            if_out, if_in, flips = _outside(piece)
+            # Both possible start states of the split: outside a string, inside one.
             for at, inside in ((5, flipped), (6, not flipped)):
                 closes = inside == flips
-                row[at] += _balance(piece, inside) - closes
+                row[at] += _balance(if_in if inside else if_out) - closes
             flipped ^= flips
             row[7] += len(piece.encode()) + 1
         row[4] = int(flipped)
@@ -121,8 +119,9 @@ def _elements(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if not held:
                 held_seq = seq
             text = _element_start(piece, depth == 0) if starts and not held else piece
-            depth += _balance(piece, in_string)
-            in_string ^= _flips(piece)
+            if_out, if_in, flips = _outside(piece)
+            depth += _balance(if_in if in_string else if_out)
+            in_string ^= flips
             if starts and not held and text.rstrip(_JSON_SPACE) == "]" and depth == 0:
                 continue
             held.append(text + "}")

@@ -11,11 +11,11 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
-from ..functions.variants import is_object, strict_json
+from ..functions.variants import is_object, with_strict_json
 from .json_array import read_array_elements
 
 PROVENANCE = ["src_idx", "src_file", "block_start", "seq"]
@@ -76,24 +76,18 @@ def line_numbers(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
-def _required(value: Column, ok: Column, message: Column) -> Column:
-    return F.when(ok, value).otherwise(F.raise_error(message).cast("variant"))
-
-
 def parse_records(lines: DataFrame) -> DataFrame:
     """Strict parse of lines: blank lines are skipped, a malformed one ends the job."""
-    rec = strict_json(F.col("value"))
-    checked = F.transform(
-        F.array(rec),
-        lambda r: _required(
-            r,
-            r.isNotNull() & F.coalesce(is_object(r), F.lit(False)),
-            F.concat(F.lit("not a JSON object, in "), F.col("src_file"), F.lit(": "), F.col("value")),
-        ),
-    ).getItem(0)
-    return lines.filter(~is_blank(F.col("value"))).select(
-        *PROVENANCE, checked.alias("rec"), F.col("value").alias("raw")
+    problem = F.concat(
+        F.lit("not a JSON object, in "), F.col("src_file"), F.lit(": "), F.col("value")
+    )
+
+    parsed = with_strict_json(lines.filter(~is_blank(F.col("value"))), F.col("value"), "_rec")
+    checked = F.when(is_object(F.col("_rec")), F.col("_rec")).otherwise(
+        F.raise_error(problem).cast("variant")
     )
+    # A generator is never pruned: every line is checked, whatever is read of it.
+    return parsed.select(*PROVENANCE, F.explode(F.array(checked)).alias("rec"), F.col("value").alias("raw"))
 
 
 def _first_char_of_files(spark: SparkSession, files: Sequence[str]) -> list[str]:
