@@ -17,17 +17,22 @@ _UNSAFE_NAME = r"[^\p{L}\p{N}_-]"
 
 def py_strip(text: Column) -> Column:
     """``str.strip()``: both ends, all Unicode whitespace."""
-    return F.btrim(text, F.lit(PY_WHITESPACE))
+    return F.ltrim(py_rstrip(text), F.lit(PY_WHITESPACE))
 
 
 def py_rstrip(text: Column) -> Column:
-    """``str.rstrip()``: right end, all Unicode whitespace."""
-    return F.rtrim(text, F.lit(PY_WHITESPACE))
+    """``str.rstrip()``: right end, all Unicode whitespace.
+
+    Trimming at the right end works through the whole text, so it is only done where the last
+    character asks for it.
+    """
+    ends_in_space = F.substring(text, -1, 1).isin(*PY_WHITESPACE)
+    return F.when(ends_in_space, F.rtrim(text, F.lit(PY_WHITESPACE))).otherwise(text)
 
 
 def is_blank(text: Column) -> Column:
     """True for an empty or whitespace-only line."""
-    return py_strip(text) == ""
+    return F.ltrim(text, F.lit(PY_WHITESPACE)) == ""
 
 
 def safe_name(name: Column) -> Column:

@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .text import is_blank
+
 # Text of booleans and of zero: the same text can be a string.
 _OTHER_TEXT = r"^(true|false|-?0(\.0*)?([eE][+-]?[0-9]+)?)$"
 
@@ -49,12 +51,16 @@ def strict_json(text: Column) -> Column:
 def with_strict_json(df: DataFrame, text: Column, name: str) -> DataFrame:
     """Add :func:`strict_json` as a column, in steps that stay inside generated code.
 
-    The generator at the end keeps later filters from being turned into a second parse.
+    Rows whose text is blank are left out.  The row filter is part of the generator at the end: a
+    filter of its own would be moved down and have the text computed twice, and later filters on
+    the value would be turned into a second parse.
     """
     steps = df.withColumn("_text", text).withColumn("_mark", F.xxhash64("_text"))
     steps = steps.withColumn("_parsed", _marked_parse(F.col("_text"), F.col("_mark")))
-    value = _only_value(F.col("_parsed"), F.col("_mark"))
-    return steps.select(*df.columns, F.explode(F.array(value)).alias(name))
+    value = F.array(_only_value(F.col("_parsed"), F.col("_mark")))
+    nothing = F.array().cast("array<variant>")
+    kept = F.when(F.col("_parsed").isNull() & is_blank(F.col("_text")), nothing).otherwise(value)
+    return steps.select(*df.columns, F.explode(kept).alias(name))
 
 
 def field(record: Column, key: str) -> Column:
@@ -92,7 +98,7 @@ def _nested(v: Column) -> Column:
     return as_array(v).isNotNull() | is_object(v)
 
 
-def _may_differ(text: Column) -> Column:
+def may_differ(text: Column) -> Column:
     """Whether the text could be that of something other than a truthy string.
 
     Looks at the first character and the length first, so long texts cost nothing.
@@ -122,7 +128,7 @@ def pick_text(
         scalar = F.when(text == "true", F.lit("True"))
         scalar = scalar if truthy_only else scalar.when(text == "false", F.lit("False")).otherwise(text)
         return (
-            F.when(~_may_differ(text), plain)
+            F.when(~may_differ(text), plain)
             .when(in_brackets, F.when(_nested(v), nested).otherwise(text))
             .otherwise(F.when(is_json_string(v), text).otherwise(scalar))
         )

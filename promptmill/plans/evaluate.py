@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.chat import ChatFormat, prompt_text
-from ..operators.context import evaluation_context, expected_answer, value_text
+from ..operators.context import EXPECTED_KEYS, evaluation_context, expected_answer, read_fields, value_text
 from ..operators.predict import PredictorFactory, predict_roster
 from ..operators.scoring import clean_prediction, exact_match, score_models
 from ..operators.templates import Template, load_template, messages_from_text
@@ -27,22 +27,23 @@ def evaluation_items(
     ``safe`` builds the prompt from the template directly; ``raw`` goes through the rendered
     JSON text, where a value that breaks the JSON ends the job.
     """
-    rec, raw = F.col("rec"), F.col("raw")
+    fields = read_fields(records, [*template.variables, "question", *EXPECTED_KEYS])
+    frame = fields.frame
     if mode == "safe":
-        context = evaluation_context(rec, template.variables, raw)
+        context = evaluation_context(fields, template.variables)
         prompt = template.prompt(context, chat_format, add_generation_prompt=True)
     elif mode == "raw":
-        context = evaluation_context(rec, template.variables, raw, python_text=True)
-        records = records.withColumn("rendered", template.render_raw(context))
+        context = evaluation_context(fields, template.variables, python_text=True)
+        frame = frame.withColumn("rendered", template.render_raw(context))
         messages = messages_from_text(F.col("rendered"))
         prompt = prompt_text(messages, chat_format, add_generation_prompt=True)
     else:
         raise ValueError(f"mode must be 'safe' or 'raw', not {mode!r}")
-    return records.select(
+    return frame.select(
         F.concat_ws(":", "src_idx", "src_file", "block_start", "seq").alias("item_id"),
-        value_text(rec, "question").alias("question"),
+        value_text(fields, "question").alias("question"),
         prompt.alias("prompt_text"),
-        expected_answer(rec).alias("expected"),
+        expected_answer(fields).alias("expected"),
     )
 
 

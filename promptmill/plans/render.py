@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.context import training_context
+from ..operators.context import read_fields, training_context
 from ..operators.templates import Template, load_template
 from ..session import configure
 from ..sinks.writers import write_lines
@@ -15,19 +15,16 @@ from ..sources.records import PROVENANCE, read_records
 MODES = ("safe", "raw")
 
 
-def rendered_text(template: Template, rec: Column, raw: Column | None, mode: str = "safe") -> Column:
-    """One record as the template's JSON text."""
+def render_records(records: DataFrame, template: Template, mode: str = "safe") -> DataFrame:
+    """Provenance and ``rendered`` for records as ``read_records`` gives them.  No shuffle."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+    fields = read_fields(records)
     if mode == "raw":
-        return template.render_raw(training_context(rec, raw, python_text=True))
-    return template.render_safe(training_context(rec, raw))
-
-
-def render_records(records: DataFrame, template: Template, mode: str = "safe") -> DataFrame:
-    """Provenance and ``rendered`` for records as ``read_records`` gives them.  No shuffle."""
-    text = rendered_text(template, F.col("rec"), F.col("raw"), mode)
-    return records.select(*PROVENANCE, text.alias("rendered"))
+        text = template.render_raw(training_context(fields, python_text=True))
+    else:
+        text = template.render_safe(training_context(fields))
+    return fields.frame.select(*PROVENANCE, text.alias("rendered"))
 
 
 def render_corpus(

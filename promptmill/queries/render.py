@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from ..functions.chat import prompt_text
 from ..operators.context import (
+    EXPECTED_KEYS,
     column_context,
     context_struct,
     evaluation_context,
     expected_answer,
+    read_fields,
     record_text,
     training_context,
 )
@@ -166,9 +168,10 @@ _EVENT_SQL = "'SELECT 1 FROM events WHERE event_id = ' || event_id"
 )
 def alias_coalesce(spark, folder):
     records = parse_records(lines_with_provenance(event_records(spark, folder), "value"))
-    return records.select(
+    fields = read_fields(records)
+    return fields.frame.select(
         F.variant_get("rec", "$.event_id", "bigint").alias("event_id"),
-        context_struct(training_context(F.col("rec"), F.col("raw"))).alias("c"),
+        context_struct(training_context(fields)).alias("c"),
     ).select("event_id", "c.*")
 
 
@@ -184,15 +187,16 @@ def evaluation_items(spark, folder):
     """Exact field names only, missing fields empty; expected answer from ``answer`` or ``sql``."""
     records = parse_records(lines_with_provenance(event_records(spark, folder), "value"))
     template = Template(INFERENCE_TEMPLATE)
-    context = evaluation_context(F.col("rec"), template.variables, F.col("raw"))
+    fields = read_fields(records, [*template.variables, *EXPECTED_KEYS])
+    context = evaluation_context(fields, template.variables)
     first = F.coalesce(
         *[F.variant_get("rec", f"$.{k}", "string") for k in ("sql", "answer")], F.lit("")
     )
-    return records.select(
+    return fields.frame.select(
         F.variant_get("rec", "$.event_id", "bigint").alias("event_id"),
         template.prompt(context).alias("prompt_text"),
         first.alias("sql_text"),
-        expected_answer(F.col("rec")).alias("expected"),
+        expected_answer(fields).alias("expected"),
     )
 
 

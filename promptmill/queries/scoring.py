@@ -15,9 +15,10 @@ from ..operators.scoring import (
     score_models,
     with_verdicts,
 )
+from ..plans.evaluate import run_evaluate
 from ..session import materialize, scratch_path
-from ..sinks.writers import read_run_log, write_run_log
-from ..sources.config import ModelSpec
+from ..sinks.writers import read_run_log, write_config, write_run_log
+from ..sources.config import EvaluateSpec, ModelSpec
 from .registry import query, table
 
 MODELS = (
@@ -212,3 +213,45 @@ def run_log(spark, folder):
     return read_run_log(spark, path, "20260101_000000").select(
         "model_idx", "name", "model_safe", "item_id", "question", "prediction", "expected", "exact"
     )
+
+
+_ANSWERED = """WITH items AS (
+    SELECT doc_id, CASE WHEN lang = 'en' THEN 'a ' || length(text) ELSE 'b ' || length(text) END AS expected,
+        'a ' || length(text) AS alpha, 'SELECT 1' AS beta FROM documents
+), answers AS (
+    SELECT 0 AS model_idx, 'base/alpha' AS name, alpha = expected AS exact, alpha LIKE '%0' AS ok FROM items
+    UNION ALL SELECT 1, 'tuned', beta = expected, TRUE FROM items
+    UNION ALL SELECT 2, 'idle', FALSE, FALSE FROM items)"""
+
+
+@query(
+    f"""{_ANSWERED} SELECT model_idx, name, count(*) FILTER (exact) / count(*) AS exact_acc, count(*) FILTER (ok) / count(*) AS valid_acc,
+        0.5 * (count(*) FILTER (exact) / count(*)) + 0.5 * (count(*) FILTER (ok) / count(*)) AS score
+        FROM answers GROUP BY model_idx, name"""
+)
+def evaluate_job(spark, folder):
+    """The whole evaluation: items and template from files, generation, run log, verdicts, scores."""
+    docs = table(spark, folder, "documents")
+    size = F.length("text")
+    expected = F.concat(F.when(F.col("lang") == "en", "a ").otherwise("b "), size)
+    items, template = scratch_path(spark, "items"), scratch_path(spark, "template")
+    docs.select(
+        F.to_json(F.struct(F.col("text").alias("question"), F.col("lang").alias("schema"), expected.alias("sql")))
+    ).write.text(items)
+    document = {"messages": [{"role": "user", "content": "{% if schema %}in {{schema}}{% endif %}: {{question}}"}]}
+    write_config(spark, document, template)
+    spec = EvaluateSpec(items, template, MODELS)
+
+    def factory(model: ModelSpec):
+        def predict(prompts, max_tokens):
+            if model.name == "idle":
+                return [""] * len(prompts)
+            if model.adapters:
+                return ["SELECT 1"] * len(prompts)
+            return [f" a {len(p) - len('in xx: ')}\n" for p in prompts]
+
+        return predict
+
+    judged = docs.select(F.concat(F.lit("a "), size).alias("sql"), (size % 10 == 0).alias("valid"))
+    one = table(spark, folder, "region").select(F.lit("SELECT 1").alias("sql"), F.lit(True).alias("valid"))
+    return run_evaluate(spark, spec, factory, judged.unionByName(one))

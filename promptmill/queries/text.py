@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import cut_at_stop, halt_at_stop, py_rstrip, py_strip, safe_name
+from ..functions.text import cut_at_stop, halt_at_stop, py_rstrip, py_strip, run_stamp, safe_name
 from .registry import query, table
 
 # The order matters: the comma is only looked at in texts without a question mark.
@@ -64,3 +64,8 @@ def safe_names(spark, folder):
     return named("customer", "customer", "c_custkey", "c_name").unionByName(
         named("supplier", "supplier", "s_suppkey", "s_name")
     )
+
+
+@query("SELECT event_id, strftime(ts, '%Y%m%d_%H%M%S') AS run_id FROM events")
+def run_stamps(spark, folder):
+    return table(spark, folder, "events").select("event_id", run_stamp(F.col("ts")).alias("run_id"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.chat import MESSAGES_TYPE
-from ..functions.text import is_blank, py_strip
+from ..functions.text import py_strip
 from ..functions.variants import as_array, as_text, is_object, let, with_strict_json
 from .records import PROVENANCE, line_numbers, read_lines
 
@@ -90,8 +90,7 @@ def parse_chat(lines: DataFrame) -> DataFrame:
         )
 
     passed_through = [c for c in lines.columns if c != "value"]
-    worded = lines.filter(~is_blank(F.col("value")))
-    parsed = with_strict_json(worded, py_strip(F.col("value")), "_rec")
+    parsed = with_strict_json(lines, py_strip(F.col("value")), "_rec")
     return (
         parsed.select(*passed_through, "value", F.inline(F.array(outcome(F.col("_rec")))))
         .withColumn("line", F.when(F.col("status") == "rejected", F.col("value")))

@@ -14,7 +14,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import is_blank
 from ..functions.variants import is_object, with_strict_json
 from .json_array import read_array_elements
 
@@ -82,7 +81,7 @@ def parse_records(lines: DataFrame) -> DataFrame:
         F.lit("not a JSON object, in "), F.col("src_file"), F.lit(": "), F.col("value")
     )
 
-    parsed = with_strict_json(lines.filter(~is_blank(F.col("value"))), F.col("value"), "_rec")
+    parsed = with_strict_json(lines, F.col("value"), "_rec")
     checked = F.when(is_object(F.col("_rec")), F.col("_rec")).otherwise(
         F.raise_error(problem).cast("variant")
     )

@@ -82,8 +82,8 @@ records = st.dictionaries(st.sampled_from(KEYS), scalars, max_size=6)
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(records, min_size=60, max_size=120))
 def test_raw_render_equals_the_python_model(spark, recs):
-    df = _records(spark, [json.dumps(r) for r in recs])
-    context = ctx.training_context(F.col("rec"), F.col("raw"), python_text=True)
+    fields = ctx.read_fields(_records(spark, [json.dumps(r) for r in recs]))
+    df, context = fields.frame, ctx.training_context(fields, python_text=True)
     for document in (SQL_ONLY, TEXT_OR_SQL):
         template = Template(document)
         got = [r[1] for r in df.select("i", template.render_raw(context)).orderBy("i").collect()]
@@ -116,8 +116,8 @@ def test_safe_render_parses_back_to_the_input(spark, triples):
 
 
 def test_safe_and_raw_text_are_equal_for_plain_values(spark):
-    df = _records(spark, ['{"question": "q é", "sql": "select 1", "schema": "s"}'])
-    context = ctx.training_context(F.col("rec"))
+    fields = ctx.read_fields(_records(spark, ['{"question": "q é", "sql": "select 1", "schema": "s"}']))
+    df, context = fields.frame, ctx.training_context(fields)
     t = Template(SQL_ONLY)
     raw, safe = df.select(t.render_raw(context), t.render_safe(context)).first()
     assert raw == safe
@@ -136,12 +136,14 @@ def test_raw_render_can_break_json(spark):
 
 
 def test_evaluation_context_has_no_aliases(spark):
-    df = _records(
+    records = _records(
         spark,
         ['{"NATURAL_LANGUAGE_QUESTION": "n"}', '{"question": null, "schema": []}', '{"question": "q", "schema": "s"}'],
     )
+    fields = ctx.read_fields(records, ["question", "schema"])
+    df = fields.frame
     t = Template({"messages": [{"content": "{% if schema %}S{{schema}}{% endif %}Q{{question}}"}]})
-    context = ctx.evaluation_context(F.col("rec"), t.variables)
+    context = ctx.evaluation_context(fields, t.variables)
     raw = df.select("i", messages_from_text(t.render_raw(context))[0]["content"]).orderBy("i").collect()
     assert [r[1] for r in raw] == ["Q", "QNone", "SsQq"]
     assert [r[1] for r in df.select("i", t.prompt(context)).orderBy("i").collect()] == ["Q", "Q", "SsQq"]
@@ -149,14 +151,15 @@ def test_evaluation_context_has_no_aliases(spark):
 
 def test_expected_answer_and_record_text(spark):
     df = _records(spark, ['{"answer": " a ", "sql": "s"}', '{"answer": "", "sql": "s "}', '{"text": "t"}', '{"text": 0}'])
-    got = df.select("i", ctx.expected_answer(F.col("rec")), ctx.record_text(F.col("rec"))).orderBy("i").collect()
+    fields = ctx.read_fields(df, ctx.EXPECTED_KEYS)
+    got = fields.frame.select("i", ctx.expected_answer(fields), ctx.record_text(F.col("rec"))).orderBy("i").collect()
     assert [r[1] for r in got] == ["a", "s", "", ""]
     assert [r[2] for r in got][2:] == ["t", '{"text":0}']
 
 
 def test_context_struct(spark):
-    df = _records(spark, ['{"query": "q1", "schema_json": {"b": 1, "a": 2}}'])
-    row = df.select(ctx.context_struct(ctx.training_context(F.col("rec"), F.col("raw"))).alias("c")).first().c
+    fields = ctx.read_fields(_records(spark, ['{"query": "q1", "schema_json": {"b": 1, "a": 2}}']))
+    row = fields.frame.select(ctx.context_struct(ctx.training_context(fields)).alias("c")).first().c
     assert row.asDict() == {"question": None, "sql": "q1", "answer": "q1", "schema": '{"b":1,"a":2}'}
 
 
