@@ -122,7 +122,7 @@ def _loads(text):
         return False
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.one_of(json_like, fragments), min_size=100, max_size=200))
 def test_strict_json_agrees_with_python(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")

@@ -79,7 +79,7 @@ scalars = st.sampled_from(
 records = st.dictionaries(st.sampled_from(KEYS), scalars, max_size=6)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(records, min_size=60, max_size=120))
 def test_raw_render_equals_the_python_model(spark, recs):
     fields = ctx.read_fields(_records(spark, [json.dumps(r) for r in recs]))
@@ -90,7 +90,7 @@ def test_raw_render_equals_the_python_model(spark, recs):
         assert got == [_model_raw(document, _model_context(r)) for r in recs]
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(*[st.text(max_size=8)] * 3), min_size=40, max_size=80))
 def test_safe_render_parses_back_to_the_input(spark, triples):
     df = spark.createDataFrame(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from promptmill.functions import text as t
 from promptmill.functions.chat import ChatFormat, prompt_text
 
-SLOW = dict(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+SLOW = dict(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 def _apply(spark, values, *columns):
