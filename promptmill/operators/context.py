@@ -6,6 +6,7 @@ import json
 import operator
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from dataclasses import field as dataclass_field
 from functools import partial
 
 import pandas as pd
@@ -61,6 +62,7 @@ class Fields:
     frame: DataFrame
     keys: tuple[str, ...]
     raw: Column | None
+    _picked: dict[tuple[str, bool], Column] = dataclass_field(default_factory=dict)
 
     def text(self, key: str) -> Column:
         return F.col("_fields").getField(f"k{self.keys.index(key)}")
@@ -77,10 +79,14 @@ class Fields:
 
         The plain text decides nearly every row; only an ambiguous one is looked at again.
         """
-        text = self.text(key)
-        again = pick_text(F.col("rec"), field_path(key), truthy_only, self.source(key))
-        empty = F.when(text == "", None if truthy_only else text)
-        return empty.when(~may_differ(text), text).when(text.isNotNull(), again)
+        if (key, truthy_only) not in self._picked:
+            text = self.text(key)
+            again = pick_text(F.col("rec"), field_path(key), truthy_only, self.source(key))
+            empty = F.when(text == "", None if truthy_only else text)
+            self._picked[key, truthy_only] = empty.when(~may_differ(text), text).when(
+                text.isNotNull(), again
+            )
+        return self._picked[key, truthy_only]
 
     def json_source(self, key: str) -> Column:
         """The JSON source of a number, list or object; NULL for all else."""

@@ -16,7 +16,7 @@ from ..sources.chat import (
     rejected_with_line_numbers,
 )
 from ..sources.records import concat_sources, lines_with_provenance, read_lines
-from .registry import message, query, table
+from .registry import message, query, spread_table, table
 
 GREETING = "You answer briefly."
 FORMAT = ChatFormat("<s>", "<|", "|>", "<|end|>", "<|assistant|>")
@@ -25,7 +25,7 @@ FORMAT = ChatFormat("<s>", "<|", "|>", "<|end|>", "<|assistant|>")
 def conversation_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Each turn as a chat line of two messages: a fixed system message and the turn."""
     messages = F.array(message("system", GREETING), message(F.col("role"), F.col("text")))
-    return table(spark, folder, "conversations").select(
+    return spread_table(spark, folder, "conversations").select(
         "conv_id", "turn", F.to_json(F.struct(messages.alias("messages"))).alias("value")
     )
 
@@ -60,7 +60,7 @@ def mixed_lines(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("turn") == 6, F.lit('{"messages": "none"}'))
         .otherwise(F.concat(F.lit("{bad "), F.col("text")))
     )
-    return table(spark, folder, "conversations").select("conv_id", "turn", value.alias("value"))
+    return spread_table(spark, folder, "conversations").select("conv_id", "turn", value.alias("value"))
 
 
 _KIND = "CASE WHEN turn IN (0, 1, 2, 6) THEN 'kept' ELSE 'rejected' END"
@@ -153,7 +153,7 @@ def union_sources(spark, folder):
     """Several sources as one, in list order, the first one twice."""
 
     def source(name, role):
-        rows = table(spark, folder, name).select(
+        rows = spread_table(spark, folder, name).select(
             F.to_json(F.array(message(role, F.col("text")))).alias("value")
         )
         return kept(parse_chat(lines_with_provenance(rows, "value", src_file=name)))

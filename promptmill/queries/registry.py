@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import configure
+from ..session import configure, spread_if_small
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table ahead of costly per-row work: spread over all cores if it is small."""
+    return spread_if_small(table(spark, folder, name))
+
+
 def message(role: Column | str, content: Column | str) -> Column:
     """One message struct; plain strings are constants."""
     role, content = (F.lit(x) if isinstance(x, str) else x for x in (role, content))

@@ -24,7 +24,7 @@ from ..plans.render import render_records
 from ..session import scratch_path
 from ..sinks.writers import write_lines
 from ..sources.records import lines_with_provenance, parse_records, read_records
-from .registry import query, table
+from .registry import query, spread_table, table
 
 SYSTEM = "You turn questions into SQL. Answer with one statement."
 ASK = "{% if schema %}<tables>{{schema}}</tables>{% endif %}Question: {{question}}"
@@ -100,7 +100,7 @@ def render_messages(spark, folder):
 )
 def render_safe_json(spark, folder):
     """Markup full of quotes through JSON text and back, unchanged."""
-    rows = table(spark, folder, "pages").select("page_id", F.col("html").alias("question"))
+    rows = spread_table(spark, folder, "pages").select("page_id", F.col("html").alias("question"))
     template = Template(INFERENCE_TEMPLATE)
     text = template.render_safe(column_context(rows, template.variables))
     parsed = rows.select("page_id", messages_from_text(text).alias("m"))
@@ -151,7 +151,7 @@ def event_records(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("event_type") == "purchase", F.concat(F.lit('{"question": null, "sql": [], "query": null, "event_id": '), F.col("event_id"), F.lit("}")))
         .otherwise(F.to_json(F.struct("event_id", question.alias("question"), sql.alias("answer"), F.lit("kept").alias("SCHEMA_JSON"), F.lit("not used").alias("schema_json"))))
     )
-    return table(spark, folder, "events").select(text.alias("value"))
+    return spread_table(spark, folder, "events").select(text.alias("value"))
 
 
 _EVENT_QUESTION = "'What happened in ' || event_id || '?'"
@@ -206,7 +206,7 @@ def evaluation_items(spark, folder):
 def record_fallback_text(spark, folder):
     """Records without messages: their text, or the whole record."""
     text = F.when(F.col("event_type") != "error", F.concat_ws(" ", "event_type", "props"))
-    lines = table(spark, folder, "events").select(F.to_json(F.struct("event_id", text.alias("text"))).alias("value"))
+    lines = spread_table(spark, folder, "events").select(F.to_json(F.struct("event_id", text.alias("text"))).alias("value"))
     records = parse_records(lines_with_provenance(lines, "value"))
     return records.select(
         F.variant_get("rec", "$.event_id", "bigint").alias("event_id"), record_text(F.col("rec")).alias("text")
@@ -217,7 +217,7 @@ _READ_BACK = "SELECT event_id, event_type, json_extract_string(props, '$.k') AS
 
 
 def _props_records(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").select(
+    return spread_table(spark, folder, "events").select(
         F.concat(
             F.lit('{"event_id": '), F.col("event_id"), F.lit(', "event_type": "'), F.col("event_type"),
             F.lit('", "value": '), F.col("value"), F.lit(', "note": "a } in \\"text\\"", "props": '), F.col("props"), F.lit("}"),

@@ -19,7 +19,7 @@ from ..plans.evaluate import run_evaluate
 from ..session import materialize, scratch_path
 from ..sinks.writers import read_run_log, write_config, write_run_log
 from ..sources.config import EvaluateSpec, ModelSpec
-from .registry import query, table
+from .registry import query, spread_table, table
 
 MODELS = (
     ModelSpec("base/alpha"),
@@ -150,7 +150,7 @@ _STATEMENT = """CASE o_orderpriority
 )
 def link_check(spark, folder):
     """Statements made from orders against a catalog of the given tables."""
-    statements = table(spark, folder, "orders").select(F.expr(_STATEMENT.replace("''", "\\'")).alias("sql"))
+    statements = spread_table(spark, folder, "orders").select(F.expr(_STATEMENT.replace("''", "\\'")).alias("sql"))
     names = ("orders", '"Lineitem"', "nation", "customer")
     catalog = spark.createDataFrame([(n,) for n in names], "table_name string")
     return check_links(statements, catalog)

@@ -9,7 +9,7 @@ from ..operators.tokens import collate, encoder_ids, hashed_ids, tokenize, word_
 from ..plans.train_data import run_train_data
 from ..session import materialize, scratch_path
 from ..sources.config import TrainingSpec
-from .registry import message, query, table
+from .registry import message, query, spread_table, table
 
 VOCABULARY, RESERVED, PAD = 32_000, 4, 0
 MAX_LENGTH = 64
@@ -19,7 +19,7 @@ _WORDS = r"len(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_ \t\r\n]'))
 
 @query(f"SELECT doc_id, {_WORDS} AS n_tokens, length(text) AS n_chars FROM documents")
 def tokenize_len(spark, folder):
-    docs = table(spark, folder, "documents")
+    docs = spread_table(spark, folder, "documents")
     return docs.select(
         "doc_id", F.size(word_tokens(F.col("text"))).alias("n_tokens"), F.length("text").alias("n_chars")
     )
@@ -55,7 +55,7 @@ def _word_lengths():
     """SELECT doc_id, len(string_split(text, ' ')) AS n_ids, length(replace(text, ' ', '')) AS id_sum FROM documents"""
 )
 def encode_with_user_tokenizer(spark, folder):
-    docs = table(spark, folder, "documents")
+    docs = spread_table(spark, folder, "documents")
     rows = tokenize(docs, encoder_ids(F.col("text"), _word_lengths), ["doc_id"], add_labels=False)
     return rows.select(
         "doc_id",
