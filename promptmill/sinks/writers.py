@@ -42,10 +42,16 @@ def write_prompt_log(df: DataFrame, prompt: str, path: str) -> None:
 
 
 def write_run_log(rows: DataFrame, run_id: str, path: str) -> None:
-    """Question, prompt, prediction and expectation of every item, a folder per model and run."""
-    rows.select(
+    """Question, prompt, prediction and expectation of every item, a folder per model and run.
+
+    Only the folders written to are replaced, so a run that is repeated does not count twice and
+    other runs stay.
+    """
+    named = rows.select(
         *RUN_LOG_COLUMNS, safe_name(F.col("name")).alias("model_safe"), F.lit(run_id).alias("run_id")
-    ).write.mode("append").partitionBy("model_safe", "run_id").parquet(path)
+    )
+    writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("model_safe", "run_id").parquet(path)
 
 
 def read_run_log(spark: SparkSession, path: str, run_id: str) -> DataFrame:

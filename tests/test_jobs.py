@@ -121,6 +121,8 @@ def test_evaluate_job(spark, job, mode):
     # Without stop sequences the trailing semicolon spoils every match.
     rows = run_evaluate(spark, spec, _answering(prompts), mode=mode, log_path=log, run_id="r2").collect()
     assert [r.score for r in rows] == [0.0, 0.0]
+    # The same run again replaces its own rows and no others.
+    run_evaluate(spark, spec, _answering(prompts), verdicts, stop=[";\n"], mode=mode, log_path=log, run_id="r1")
     logged = spark.read.parquet(log)
     assert logged.count() == 24 and {r.model_safe for r in logged.select("model_safe").collect()} == {"m_one", "two"}
     assert logged.filter("run_id = 'r1' and question = 'q1' and name = 'm/one'").first().prediction == "select 1"

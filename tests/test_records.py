@@ -87,7 +87,7 @@ def test_malformed_array_ends_the_job(spark, tmp_path, text):
 
 def test_layout_is_chosen_by_first_character(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"x": 1}, {"x": 2}]')
-    (tmp_path / "b.json").write_text('{"x": 3}\n\n  \n{"x": 4}\n')
+    (tmp_path / "b é%20.json").write_text('{"x": 3}\n\n  \n{"x": 4}\n')
     (tmp_path / "c.json").write_text("")
     (tmp_path / "d.json").write_text("[]")
     got = read_records(spark, str(tmp_path))
