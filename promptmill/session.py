@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -15,6 +17,9 @@ RESULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Names the shared folder of a local session without spark.checkpoint.dir.
+SCRATCH_KEY = "spark.promptmill.scratch.dir"
+
 # Settings that matter for speed at scale.  They are read at session start or per query.
 SPEED_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -25,9 +30,15 @@ SPEED_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the result-relevant settings to an existing session and return it."""
+    """Apply the result-relevant settings to an existing session and return it.
+
+    A local session that names no shared folder gets one: on one machine any folder is shared.
+    """
     for key, value in RESULT_CONF.items():
         spark.conf.set(key, value)
+    local = spark.sparkContext.master.split("[")[0] == "local"
+    if local and not _named_folder(spark):
+        spark.conf.set(SCRATCH_KEY, _local_folder())
     return spark
 
 
@@ -48,22 +59,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
     return configure(spark)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it.
+def _named_folder(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH_KEY, None)
 
-    Only a local session may go without: there a temporary folder is as reachable as any other.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder every executor can reach, as the session names it."""
+    if not (named := _named_folder(spark)):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_folder()
+    return named.rstrip("/")
 
 
 @cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="promptmill-")
+    folder = tempfile.mkdtemp(prefix="promptmill-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
