@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .packing import pack_pieces, token_pieces
 from .registry import ORACLE, QUERIES, query, table
 from .token_files import read_tokens, write_tokens
 
@@ -23,3 +24,9 @@ def op7_repair_token_files(spark: SparkSession, folder: str) -> DataFrame:
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"),
     )
+
+
+@query()
+def op9_sum_of_squares_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return pack_pieces(token_pieces(table(spark, folder, "documents")))
