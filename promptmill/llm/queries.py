@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .packing import pack_pieces, token_pieces
 from .registry import ORACLE, QUERIES, query, table
+from .simhash import near_duplicates
 from .token_files import read_tokens, write_tokens
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -30,3 +31,9 @@ def op7_repair_token_files(spark: SparkSession, folder: str) -> DataFrame:
 def op9_sum_of_squares_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     return pack_pieces(token_pieces(table(spark, folder, "documents")))
+
+
+@query()
+def op3_simhash_anchors(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents and the groups that 4 or fewer differing bits link."""
+    return near_duplicates(table(spark, folder, "documents"))
