@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from . import langid
 from .packing import pack_pieces, token_pieces
 from .registry import ORACLE, QUERIES, query, table
 from .simhash import near_duplicates
@@ -37,3 +38,17 @@ def op9_sum_of_squares_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op3_simhash_anchors(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of all documents and the groups that 4 or fewer differing bits link."""
     return near_duplicates(table(spark, folder, "documents"))
+
+
+def _held_out(docs: DataFrame) -> DataFrame:
+    """``docs`` with held_out: a quarter of the documents that nothing is learned from."""
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 4
+    return docs.withColumn("held_out", F.coalesce(remainder == 2, F.lit(False)))
+
+
+@query()
+def op6_hyperdimensional_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned without the held-out quarter."""
+    docs = _held_out(table(spark, folder, "documents"))
+    prototypes = langid.train(docs.filter(~F.col("held_out")))
+    return langid.predict(docs, prototypes, ("doc_id", "held_out"))
