@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import langid
+from . import langid, quality
 from .packing import pack_pieces, token_pieces
 from .registry import ORACLE, QUERIES, query, table
 from .simhash import near_duplicates
@@ -52,3 +52,10 @@ def op6_hyperdimensional_language(spark: SparkSession, folder: str) -> DataFrame
     docs = _held_out(table(spark, folder, "documents"))
     prototypes = langid.train(docs.filter(~F.col("held_out")))
     return langid.predict(docs, prototypes, ("doc_id", "held_out"))
+
+
+@query()
+def op2_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected grade and selection of every document, learned from the rated ones."""
+    docs = table(spark, folder, "documents")
+    return quality.rate(docs, quality.train(docs, table(spark, folder, "labels")))
