@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from . import langid, quality
 from .packing import pack_pieces, token_pieces
+from .pieces import decode_ids, encode_texts
 from .registry import ORACLE, QUERIES, query, table
 from .simhash import near_duplicates
 from .token_files import read_tokens, write_tokens
@@ -59,3 +60,15 @@ def op2_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Expected grade and selection of every document, learned from the rated ones."""
     docs = table(spark, folder, "documents")
     return quality.rate(docs, quality.train(docs, table(spark, folder, "labels")))
+
+
+@query()
+def op8_sentencepiece_backtracking(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of the ids of all documents and of the text that these ids decode to."""
+    decoded = decode_ids(encode_texts(table(spark, folder, "documents")))
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
