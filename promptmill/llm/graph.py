@@ -15,25 +15,25 @@ from ..session import materialize
 BLOCK_ITEMS = 4096
 
 
-def in_cells(items: DataFrame, key: str, spread: str) -> DataFrame:
-    """``items`` for comparing all items of equal ``key``: column ``cell`` added.
+def in_cells(items: DataFrame, keys: list[str], spread: str) -> DataFrame:
+    """``items`` for comparing all items of equal ``keys``: columns ``block`` and ``cell`` added.
 
     A key with up to ``BLOCK_ITEMS`` items is one cell.  A larger one is dealt to n blocks by a hash
     of ``spread``, and each item goes to the n cells of its block with every block, so that each
     pair of items meets in a cell and no cell outgrows two blocks.  Counting is pre-aggregated; only
     the large keys are looked up, and the adaptive join splits a hot one.
     """
-    counts = items.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > BLOCK_ITEMS)
-    blocks = counts.select(key, F.ceil(F.col("_n") / BLOCK_ITEMS).alias("_blocks"))
+    counts = items.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > BLOCK_ITEMS)
+    blocks = counts.select(*keys, F.ceil(F.col("_n") / BLOCK_ITEMS).alias("_blocks"))
     others = F.sequence(F.lit(0), F.col("_blocks") - 1)
-    cell = F.least("_block", "_other") * F.col("_blocks") + F.greatest("_block", "_other")
+    cell = F.least("block", "_other") * F.col("_blocks") + F.greatest("block", "_other")
     return (
-        items.join(blocks, key, "left")
+        items.join(blocks, keys, "left")
         .withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
-        .withColumn("_block", F.pmod(F.xxhash64(spread), F.col("_blocks")))
+        .withColumn("block", F.pmod(F.xxhash64(spread), F.col("_blocks")))
         .select("*", F.explode(others).alias("_other"))
         .withColumn("cell", cell)
-        .drop("_blocks", "_block", "_other")
+        .drop("_blocks", "_other")
     )
 
 

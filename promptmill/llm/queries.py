@@ -9,6 +9,7 @@ from ..session import scratch_path
 from . import langid, quality
 from .packing import pack_pieces, token_pieces
 from .pieces import decode_ids, encode_texts
+from .pivots import near_vectors
 from .registry import ORACLE, QUERIES, query, table
 from .simhash import near_duplicates
 from .token_files import read_tokens, write_tokens
@@ -72,3 +73,9 @@ def op8_sentencepiece_backtracking(spark: SparkSession, folder: str) -> DataFram
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op5_pivot_permutations(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of all vectors with a cosine of 0.98 or more to one of their label."""
+    return near_vectors(table(spark, folder, "embeddings"))

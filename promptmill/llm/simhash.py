@@ -157,7 +157,7 @@ def linked_fingerprints(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
     replicas = fps.select("fp").distinct().mapInArrow(replicate, "anchor long, fp long")
     return (
-        in_cells(replicas, "anchor", "fp")
+        in_cells(replicas, ["anchor"], "fp")
         .select("anchor", "cell", "fp")
         .repartition("anchor", "cell")
         .sortWithinPartitions("anchor", "cell")
