@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import langid, quality
+from .collisions import nearest
 from .packing import pack_pieces, token_pieces
 from .pieces import decode_ids, encode_texts
 from .pivots import near_vectors
@@ -79,3 +80,9 @@ def op8_sentencepiece_backtracking(spark: SparkSession, folder: str) -> DataFram
 def op5_pivot_permutations(spark: SparkSession, folder: str) -> DataFrame:
     """Links and components of all vectors with a cosine of 0.98 or more to one of their label."""
     return near_vectors(table(spark, folder, "embeddings"))
+
+
+@query()
+def op1_collision_counting(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
