@@ -9,6 +9,7 @@ from ..session import scratch_path
 from . import langid, quality
 from .collisions import nearest
 from .packing import pack_pieces, token_pieces
+from .pages import main_texts
 from .pieces import decode_ids, encode_texts
 from .pivots import near_vectors
 from .registry import ORACLE, QUERIES, query, table
@@ -86,3 +87,9 @@ def op5_pivot_permutations(spark: SparkSession, folder: str) -> DataFrame:
 def op1_collision_counting(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 nearest vectors of every vector whose id is divisible by 20."""
     return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query()
+def op10_block_tree_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return main_texts(table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
