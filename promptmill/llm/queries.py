@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from . import langid, quality
 from .collisions import nearest
 from .packing import pack_pieces, token_pieces
@@ -15,6 +15,7 @@ from .pivots import near_vectors
 from .registry import ORACLE, QUERIES, query, table
 from .simhash import near_duplicates
 from .token_files import read_tokens, write_tokens
+from .warc import audit, warc_records
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -93,3 +94,30 @@ def op1_collision_counting(spark: SparkSession, folder: str) -> DataFrame:
 def op10_block_tree_extraction(spark: SparkSession, folder: str) -> DataFrame:
     """The main text of every page."""
     return main_texts(table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+_DAMAGED = """
+SELECT page_id, CASE WHEN r = 3 THEN 'missing' ELSE 'altered' END AS finding
+FROM (SELECT page_id, html, page_id % 53 AS r FROM pages)
+WHERE r = 3 OR (r = 11 AND length(html) > 0) OR (r = 29 AND length(html) > 1)
+"""
+
+
+@query(_DAMAGED)
+def op4_merkle_fixity(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of all pages that a damaged replica has lost or altered.
+
+    The replica lacks some records and has the last one or two bytes of other pages zeroed, at places
+    that follow from page_id.
+    """
+    records = materialize(warc_records(table(spark, folder, "pages")), "warc")
+    case = F.col("page_id") % 53
+    # Four bytes end a record; the ones before them are the last ones of the page.
+    flipped = F.concat(F.expr("substring(record, 1, length(record) - 5)"), F.lit(b"\x00"), F.lit(b"\r\n\r\n"))
+    zeroed = F.concat(F.expr("substring(record, 1, length(record) - 6)"), F.lit(b"\x00\x00\r\n\r\n"))
+    body = F.length("record") - F.instr(F.decode("record", "ISO-8859-1"), "\r\n\r\n") - 7
+    broken = F.when((case == 11) & (body > 0), flipped).when((case == 29) & (body > 1), zeroed)
+    broken = F.coalesce(broken, F.col("record"))
+    replica = records.filter(F.coalesce(case != 3, F.lit(True))).select("file", "offset", broken.alias("record"))
+    found = audit(records, replica)
+    return found.join(records.select("file", "offset", "page_id"), ["file", "offset"]).select("page_id", "finding")
