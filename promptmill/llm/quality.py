@@ -215,17 +215,19 @@ def train(docs: DataFrame, ratings: DataFrame, rows: int = RATED_ROWS) -> Ordina
                 at += len(texts)
 
     rated = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("_grade", "text")
-    frame = rated.mapInArrow(features, "grade int, buckets array<int>, shares array<double>").toPandas()
+    found = rated.mapInArrow(features, "grade int, buckets array<int>, shares array<double>").toArrow().combine_chunks()
     # One order, whatever the order in which tasks end.
-    key = [crc32(b.astype(np.int32).tobytes()) for b in frame["buckets"]]
-    frame = frame.assign(key=key).sort_values(["grade", "key"], ignore_index=True)
-    grades = frame["grade"].to_numpy(np.int64)
+    buckets = [b.astype(np.int64) for b in (row.values.to_numpy() for row in found["buckets"])]
+    order = sorted(range(len(found)), key=lambda i: (found["grade"][i].as_py(), crc32(buckets[i].tobytes()), len(buckets[i])))
+    grades = found["grade"].to_numpy()[order].astype(np.int64)
     if len(set(grades.tolist())) < 2:
         certain = int(grades[0]) if len(grades) else GRADES - 1
         thresholds = np.where(np.arange(GRADES - 1) < certain, -500.0, 500.0)
         return OrdinalModel(np.zeros(BUCKETS), np.zeros(_SHAPES), thresholds)
-    ends = np.concatenate([[0], np.cumsum([len(b) for b in frame["buckets"]])])
-    return _fit(grades, np.concatenate(frame["buckets"].to_list()).astype(np.int64), ends, np.stack(frame["shares"].to_list()))
+    buckets = [buckets[i] for i in order]
+    shares = np.array(found["shares"].to_pylist())[order]
+    ends = np.concatenate([[0], np.cumsum([len(b) for b in buckets])])
+    return _fit(grades, np.concatenate(buckets), ends, shares)
 
 
 def rate(docs: DataFrame, model: OrdinalModel, select_from: float = SELECT_FROM, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -244,6 +246,6 @@ def rate(docs: DataFrame, model: OrdinalModel, select_from: float = SELECT_FROM,
                 at += len(texts)
 
     names = [*columns, "expected_grade", "tail_probability", "selected"]
-    chosen = docs.select(*columns, "text")
+    chosen = docs.select(*columns, F.col("text").alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
     return chosen.mapInArrow(batches, f"{schema}, expected_grade double, tail_probability double, selected boolean")
