@@ -7,8 +7,9 @@ documents' vectors, each scaled to the same length.  The mean of all prototypes
 it holds what languages share.  A document gets the language whose prototype has the largest cosine
 with it; the score is (1 + cosine) / 2.
 
-Learning takes up to ``DOCS_PER_LANGUAGE`` documents of each language, chosen by a hash of doc_id
-(a documented bound on the fit, nothing else); prediction reads every whole text.
+Learning takes up to ``DOCS_PER_LANGUAGE`` documents of each of the ``LANGUAGES`` most frequent
+languages, chosen by a hash of doc_id (documented bounds on the fit, nothing else); prediction reads
+every whole text.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; with nothing to learn
 from, every document is ``und``; equal cosines go to the alphabetically first language; documents of
@@ -31,6 +32,7 @@ from ..functions.worker import once_per_worker
 DIMENSIONS = 1024
 SEED = 20_240_607
 DOCS_PER_LANGUAGE = 5_000
+LANGUAGES = 512
 #: Sequences whose vectors a worker remembers, and documents bundled at once.
 REMEMBERED = 16_384
 _GROUP = 64
@@ -119,10 +121,10 @@ def bundler(dimensions: int) -> Bundler:
 def train(docs: DataFrame, dimensions: int = DIMENSIONS, per_language: int = DOCS_PER_LANGUAGE) -> dict[str, np.ndarray]:
     """Prototypes by language of ``docs`` (doc_id, text, lang); all of them may be learned from."""
     known = docs.filter("lang is not null and doc_id is not null").select("doc_id", "text", "lang")
-    counts = known.groupBy("lang").agg(F.count("*").alias("_n"))
+    counts = known.groupBy("lang").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "lang").limit(LANGUAGES)
     # A hash in 0..2^20-1 below the share that the bound leaves of the language.
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    chosen = known.join(counts, "lang").filter(draw * F.col("_n") <= F.lit(per_language << 20))
+    chosen = known.join(F.broadcast(counts), "lang").filter(draw * F.col("_n") <= F.lit(per_language << 20))
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -176,6 +178,6 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], columns: tuple[s
             yield pa.RecordBatch.from_arrays([*kept, pa.array(best, pa.string()), pa.array(score, pa.float64())], names=names)
 
     names = [*columns, "lang_pred", "score"]
-    chosen = docs.select(*columns, "text")
+    chosen = docs.select(*columns, F.col("text").alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
     return chosen.mapInArrow(batches, f"{schema}, lang_pred string, score double")
