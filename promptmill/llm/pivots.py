@@ -33,6 +33,8 @@ LEAST_COSINE = 0.98
 PIVOTS = 256
 PREFIX = 8
 SHARED = 2
+#: Pivots are farther apart than this.
+PIVOT_COSINE = 0.8
 #: Rows of a cell compared at once.
 _ROWS = 256
 
@@ -43,6 +45,18 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
+def _apart(unit: np.ndarray) -> np.ndarray:
+    """The vectors, in order, that are not close to one taken before.
+
+    Pivots inside one group of close vectors would order differently for each of its members.
+    """
+    taken: list[int] = []
+    for i in range(len(unit)):
+        if not taken or (unit[taken] @ unit[i]).max() < PIVOT_COSINE:
+            taken.append(i)
+    return unit[taken]
+
+
 def _cell(frame: pd.DataFrame, least: float, shared: int) -> pd.DataFrame:
     """Links of a cell: node, links (copies count), root (a node of the same component)."""
     pivot = int(frame["pivot"].iloc[0])
@@ -90,7 +104,7 @@ def near_vectors(rows: DataFrame, least: float = LEAST_COSINE, pivots: int = PIV
     points: dict[int, list] = {}
     for row in sample:
         points.setdefault(len(row[0]), []).append(row[0])
-    sent = spark.sparkContext.broadcast({d: _unit(np.array(p[:pivots], np.float64)) for d, p in points.items()})
+    sent = spark.sparkContext.broadcast({d: _apart(_unit(np.array(p, np.float64)))[:pivots] for d, p in points.items()})
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
