@@ -202,6 +202,10 @@ EXAMPLES = """
 0 0 0 0 60 0.0 7 0.0 70 0.0 1
 0 0 0 0 45 0.1 50 0.0 3 1.0 1
 0 0 0 0 25 0.0 5 0.9 40 0.0 1
+0 0 0 0 21 0.0 20 0.0 1 1.0 1
+0 0 0 0 18 0.0 40 0.0 3 1.0 1
+0 0 0 0 35 0.0 2 1.0 2 1.0 1
+0 0 0 0 16 0.1 3 1.0 30 0.0 1
 0 0 0 0 22 0.2 30 0.0 24 0.0 1
 0 0 1 0 8 0.0 2 1.0 50 0.0 1
 0 0 1 0 3 0.0 45 0.0 60 0.0 1
