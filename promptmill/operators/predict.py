@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
+from uuid import uuid4
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.variants import let
+from ..functions.worker import once_per_worker
 from ..sources.config import ModelSpec
 
 # Prompts and a cap on generated tokens in, completions out.
@@ -29,14 +31,16 @@ def generate(
 ) -> Column:
     """Completions for a prompt column.
 
-    The factory runs once per task and gets the model's base path and ordered adapters; the
+    The factory runs once per worker process and gets the model's base path and ordered adapters; the
     predictor then sees at most ``batch_rows`` prompts at a time.  Only the prompt column goes to
     Python.  The call is marked nondeterministic, so the optimizer neither repeats nor moves it.
     With ``echoes_prompt`` a leading copy of the prompt is taken off the answer.
     """
 
+    loaded = uuid4().hex
+
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        predictor = factory(model)
+        predictor = once_per_worker(("predictor", loaded), lambda: factory(model))
         for prompts in batches:
             texts = prompts.tolist()
             answers: list[str] = []
@@ -66,7 +70,7 @@ def predict_roster(
     """Every model on every item: ``items`` plus ``model_idx, name, prediction``.
 
     One plan per model, each over all partitions of the items, so parallelism does not depend on
-    how many models there are and no task loads more than one.
+    how many models there are.  A worker keeps each model it has loaded.
     """
     if not models:
         raise ValueError("no models given")

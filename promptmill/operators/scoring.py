@@ -27,11 +27,15 @@ def pair_with_models(items: DataFrame, models: Sequence[ModelSpec]) -> DataFrame
 
 
 def join_predictions(pairs: DataFrame, predictions: DataFrame, item_key: str = "item_id") -> DataFrame:
-    """Bring stored predictions to their items; an item without one gets an empty prediction."""
+    """Bring stored predictions to their items; an item without one gets an empty prediction.
+
+    Two predictions of a model for one item end the job: counting the item twice would be wrong.
+    """
     key = ["model_idx", item_key]
-    return pairs.join(predictions.select(*key, "prediction"), key, "left").withColumn(
-        "prediction", F.coalesce("prediction", F.lit(""))
-    )
+    stored = predictions.groupBy(*key).agg(F.count("*").alias("_n"), F.first("prediction").alias("_prediction"))
+    twice = F.raise_error(F.concat(F.lit("two predictions for item "), F.col(item_key).cast("string")))
+    one = F.when(F.col("_n") > 1, twice.cast("string")).otherwise(F.coalesce("_prediction", F.lit("")))
+    return pairs.join(stored, key, "left").withColumn("prediction", one).drop("_n", "_prediction")
 
 
 def clean_prediction(prediction: Column, stop: Sequence[str] = ()) -> Column:

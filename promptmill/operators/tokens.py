@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from uuid import uuid4
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.variants import let
+from ..functions.worker import once_per_worker
 
 # Words, or single characters that are neither letter, digit nor space.
 WORD_PATTERN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_ \t\r\n]"
@@ -40,12 +42,14 @@ def hashed_ids(text: Column, vocabulary_size: int, reserved: int = 0, pattern: s
 def encoder_ids(text: Column, load: Callable[[], Encoder]) -> Column:
     """Token ids from a user's tokenizer.
 
-    ``load`` runs once per task and returns a function from texts to id lists; only the text
+    ``load`` runs once per worker process and returns a function from texts to id lists; only the text
     column travels to Python, in Arrow batches.
     """
 
+    loaded = uuid4().hex
+
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = load()
+        encoder = once_per_worker(("encoder", loaded), load)
         for texts in batches:
             yield pd.Series([list(ids) for ids in encoder(texts.tolist())], dtype=object)
 

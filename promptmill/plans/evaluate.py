@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime, timezone
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,7 +66,8 @@ def run_evaluate(
     """
     configure(spark)
     log_path = log_path or scratch_path(spark, "run-log")
-    run_id = run_id or datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
+    # Jobs that start in the same second are different runs.
+    run_id = run_id or f"{datetime.now(timezone.utc):%Y%m%d_%H%M%S}_{uuid4().hex[:8]}"
     if not spec.models:
         return score_models(spark.createDataFrame([], "model_idx int, prediction string, exact int"), [])
 

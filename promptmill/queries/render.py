@@ -24,34 +24,34 @@ from ..plans.render import render_records
 from ..session import scratch_path
 from ..sinks.writers import write_lines
 from ..sources.records import lines_with_provenance, parse_records, read_records
-from .registry import query, spread_table, table
+from .registry import query, table
 
 SYSTEM = "You turn questions into SQL. Answer with one statement."
-ASK = "{% if schema %}<tables>{{schema}}</tables>{% endif %}Question: {{question}}"
+ASK = "{% if schema %}<tables>{{schema}}</tables>{% endif %}Wanted: {{question}}"
 
 SQL_TEMPLATE = {
     "messages": [
         {"role": "system", "content": SYSTEM},
         {"role": "user", "content": ASK},
-        {"role": "assistant", "content": ">>SQL>> {{sql}};"},
+        {"role": "assistant", "content": "Statement = {{sql}};"},
     ]
 }
 ANSWER_TEMPLATE = {
     "messages": [
         {"role": "system", "content": "You answer in words or in SQL."},
-        {"role": "user", "content": "{% if schema %}<tables>{{schema}}</tables>\n{% endif %}Question: {{question}}"},
+        {"role": "user", "content": "{% if schema %}<tables>{{schema}}</tables>\n{% endif %}Wanted: {{question}}"},
         {"role": "assistant", "content": "{{answer}}"},
     ]
 }
 INFERENCE_TEMPLATE = {
     "messages": [
         {"role": "system", "content": SYSTEM},
-        {"role": "user", "content": ASK + ">>SQL>>"},
+        {"role": "user", "content": ASK + " Statement ="},
     ]
 }
 
 _SQL_OF_DOC = "'SELECT text FROM documents WHERE doc_id = ' || doc_id"
-_USER_OF_DOC = "CASE WHEN lang = 'en' THEN '<tables>' || source || '</tables>' ELSE '' END || 'Question: ' || text"
+_USER_OF_DOC = "CASE WHEN lang = 'en' THEN '<tables>' || source || '</tables>' ELSE '' END || 'Wanted: ' || text"
 
 
 def question_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -66,7 +66,7 @@ def question_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     f"""SELECT doc_id, prompt_text, length(prompt_text) AS n_chars FROM (
-        SELECT doc_id, '{SYSTEM}' || chr(10) || {_USER_OF_DOC} || chr(10) || '>>SQL>> ' || {_SQL_OF_DOC} || ';' AS prompt_text
+        SELECT doc_id, '{SYSTEM}' || chr(10) || {_USER_OF_DOC} || chr(10) || 'Statement = ' || {_SQL_OF_DOC} || ';' AS prompt_text
         FROM documents)"""
 )
 def render_sql_prompt(spark, folder):
@@ -78,7 +78,7 @@ def render_sql_prompt(spark, folder):
 
 @query(
     f"""SELECT doc_id, 3 AS n_messages,
-        CASE WHEN lang = 'en' THEN '<tables>' || source || '</tables>' || chr(10) ELSE '' END || 'Question: ' || text AS user_text,
+        CASE WHEN lang = 'en' THEN '<tables>' || source || '</tables>' || chr(10) ELSE '' END || 'Wanted: ' || text AS user_text,
         {_SQL_OF_DOC} AS assistant_text FROM documents"""
 )
 def render_messages(spark, folder):
@@ -95,12 +95,12 @@ def render_messages(spark, folder):
 
 
 @query(
-    f"""SELECT page_id, 'user' AS role, 'Question: ' || html || '>>SQL>>' AS content,
-        '{SYSTEM}' || chr(10) || 'Question: ' || html || '>>SQL>>' AS prompt_text FROM pages"""
+    f"""SELECT page_id, 'user' AS role, 'Wanted: ' || html || ' Statement =' AS content,
+        '{SYSTEM}' || chr(10) || 'Wanted: ' || html || ' Statement =' AS prompt_text FROM pages"""
 )
 def render_safe_json(spark, folder):
     """Markup full of quotes through JSON text and back, unchanged."""
-    rows = spread_table(spark, folder, "pages").select("page_id", F.col("html").alias("question"))
+    rows = table(spark, folder, "pages").select("page_id", F.col("html").alias("question"))
     template = Template(INFERENCE_TEMPLATE)
     text = template.render_safe(column_context(rows, template.variables))
     parsed = rows.select("page_id", messages_from_text(text).alias("m"))
@@ -151,7 +151,7 @@ def event_records(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("event_type") == "purchase", F.concat(F.lit('{"question": null, "sql": [], "query": null, "event_id": '), F.col("event_id"), F.lit("}")))
         .otherwise(F.to_json(F.struct("event_id", question.alias("question"), sql.alias("answer"), F.lit("kept").alias("SCHEMA_JSON"), F.lit("not used").alias("schema_json"))))
     )
-    return spread_table(spark, folder, "events").select(text.alias("value"))
+    return table(spark, folder, "events").select(text.alias("value"))
 
 
 _EVENT_QUESTION = "'What happened in ' || event_id || '?'"
@@ -177,8 +177,8 @@ def alias_coalesce(spark, folder):
 
 @query(
     f"""SELECT event_id,
-        '{SYSTEM}' || chr(10) || CASE WHEN event_type = 'view' THEN '<tables>' || props || '</tables>' ELSE '' END || 'Question: '
-        || CASE WHEN event_type IN ('view', 'signup') THEN {_EVENT_QUESTION} WHEN event_type = 'error' THEN 'False' ELSE '' END || '>>SQL>>' AS prompt_text,
+        '{SYSTEM}' || chr(10) || CASE WHEN event_type = 'view' THEN '<tables>' || props || '</tables>' ELSE '' END || 'Wanted: '
+        || CASE WHEN event_type IN ('view', 'signup') THEN {_EVENT_QUESTION} WHEN event_type = 'error' THEN 'False' ELSE '' END || ' Statement =' AS prompt_text,
         CASE WHEN event_type IN ('view', 'signup') THEN {_EVENT_SQL} WHEN event_type = 'click' THEN '0' WHEN event_type = 'purchase' THEN '[]' ELSE '' END AS sql_text,
         CASE WHEN event_type IN ('view', 'signup') THEN {_EVENT_SQL} ELSE '' END AS expected
         FROM events"""
@@ -206,7 +206,7 @@ def evaluation_items(spark, folder):
 def record_fallback_text(spark, folder):
     """Records without messages: their text, or the whole record."""
     text = F.when(F.col("event_type") != "error", F.concat_ws(" ", "event_type", "props"))
-    lines = spread_table(spark, folder, "events").select(F.to_json(F.struct("event_id", text.alias("text"))).alias("value"))
+    lines = table(spark, folder, "events").select(F.to_json(F.struct("event_id", text.alias("text"))).alias("value"))
     records = parse_records(lines_with_provenance(lines, "value"))
     return records.select(
         F.variant_get("rec", "$.event_id", "bigint").alias("event_id"), record_text(F.col("rec")).alias("text")
@@ -217,7 +217,7 @@ _READ_BACK = "SELECT event_id, event_type, json_extract_string(props, '$.k') AS
 
 
 def _props_records(spark: SparkSession, folder: str) -> DataFrame:
-    return spread_table(spark, folder, "events").select(
+    return table(spark, folder, "events").select(
         F.concat(
             F.lit('{"event_id": '), F.col("event_id"), F.lit(', "event_type": "'), F.col("event_type"),
             F.lit('", "value": '), F.col("value"), F.lit(', "note": "a } in \\"text\\"", "props": '), F.col("props"), F.lit("}"),
@@ -262,7 +262,7 @@ def json_array_records(spark, folder):
 
 
 @query(
-    f"""SELECT doc_id, {_USER_OF_DOC} AS user_text, '>>SQL>> ' || {_SQL_OF_DOC} || ';' AS assistant_text FROM documents"""
+    f"""SELECT doc_id, {_USER_OF_DOC} AS user_text, 'Statement = ' || {_SQL_OF_DOC} || ';' AS assistant_text FROM documents"""
 )
 def render_job(spark, folder):
     """Records to rendered lines on disk, and read back as JSON."""

@@ -16,7 +16,7 @@ from .scoring import MODELS, stub_factory
 
 @query(
     f"""SELECT conv_id, turn, prompt_text, 'base/alpha:' || length(prompt_text) || ':' || (length(prompt_text) - length(replace(prompt_text, ' ', ''))) || ':50' AS response
-        FROM (SELECT conv_id, turn, '{SYSTEM}' || chr(10) || '<tables>' || role || '</tables>Question: ' || text || '>>SQL>>' AS prompt_text FROM conversations)"""
+        FROM (SELECT conv_id, turn, '{SYSTEM}' || chr(10) || '<tables>' || role || '</tables>Wanted: ' || text || ' Statement =' AS prompt_text FROM conversations)"""
 )
 def request_stream(spark, folder):
     """Requests arriving as files, answered and written as they come."""

@@ -93,18 +93,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
-
-# Inputs up to this size may be shuffled just to use more cores.
-SMALL_INPUT_BYTES = 64 << 20
-
-
-def spread_if_small(df: DataFrame) -> DataFrame:
-    """Spread a small input over all cores before costly per-row work.
-
-    A few megabytes in one row group are read by one task, however many cores there are.  Moving
-    them costs next to nothing; a larger input has splits enough and is left as it is.
-    """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size > SMALL_INPUT_BYTES:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 from typing import Any
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,16 +43,14 @@ def write_prompt_log(df: DataFrame, prompt: str, path: str) -> None:
 
 
 def write_run_log(rows: DataFrame, run_id: str, path: str) -> None:
-    """Question, prompt, prediction and expectation of every item, a folder per model and run.
+    """Question, prompt, prediction and expectation of every item, a folder per run and model.
 
-    Only the folders written to are replaced, so a run that is repeated does not count twice and
-    other runs stay.
+    The whole folder of the run is replaced, so a run that is repeated does not count twice, models
+    that an earlier roster had are gone, and other runs stay.
     """
-    named = rows.select(
-        *RUN_LOG_COLUMNS, safe_name(F.col("name")).alias("model_safe"), F.lit(run_id).alias("run_id")
-    )
-    writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("model_safe", "run_id").parquet(path)
+    named = rows.select(*RUN_LOG_COLUMNS, safe_name(F.col("name")).alias("model_safe"))
+    writer = named.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("model_safe").parquet(f"{path.rstrip('/')}/run_id={quote(run_id, safe='')}")
 
 
 def read_run_log(spark: SparkSession, path: str, run_id: str) -> DataFrame:

@@ -48,11 +48,11 @@ def test_render_job(spark, job):
     spec = RenderSpec.of(load_yaml(str(job / "job.yaml")))
     run_render(spark, spec, mode="raw", ordered=True)
     one = [json.loads(x)["messages"] for x in _lines(job / "out/a/one")]
-    assert [m[2]["content"] for m in one] == [f">>SQL>> select {i};" for i in range(9)]
-    assert [m[1]["content"] for m in one][:2] == ["Question: q0", "<schema>t</schema>Question: q1"]
+    assert [m[2]["content"] for m in one] == [f"Cook select {i}." for i in range(9)]
+    assert [m[1]["content"] for m in one][:2] == ["Dish q0, please", "Dish q1 from [t], please"]
     run_render(spark, spec, mode="safe")
     two = [json.loads(x)["messages"] for x in _lines(job / "out/two")]
-    assert sorted(m[2]["content"] for m in two) == [f"select {i}" for i in range(9)]
+    assert sorted(m[-1]["content"] for m in two) == [f"select {i}" for i in range(9)]
     with pytest.raises(TypeError):
         RenderSpec.of({"default_template": "x", "datasets": [{"input": "a", "output": "b", "other": 1}]})
     with pytest.raises(KeyError):
@@ -111,7 +111,7 @@ def _answering(answers):
 def test_evaluate_job(spark, job, mode):
     items = [{"question": f"q{i}", "sql": f"select {i}"} for i in range(6)]
     (job / "items.json").write_text("\n".join(json.dumps(i) for i in items))
-    prompts = {f"Answer in SQL.\nQuestion: q{i}>>SQL>>": f"select {i};\nmore" for i in range(4)}
+    prompts = {f"Recipes.\nq{i} =>": f"select {i};\nmore" for i in range(4)}
     spec = EvaluateSpec.of({"models": MODELS, "data_path": str(job / "items.json"), "prompt_template": str(job / "ask.json")})
     verdicts = spark.createDataFrame([("select 1", True), ("nonsense", False)], "sql string, valid boolean")
     log = str(job / "log")
@@ -162,8 +162,8 @@ def test_request_stream_equals_batch(spark, tmp_path):
     streamed = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
     row = batch.filter("schema = ''").first()
-    assert row.prompt_text == "systemAnswer in SQL.userQuestion: q0>>SQL>>!"
-    assert row.response == "SYSTEMANSWER IN SQL.USERQUESTION: Q0>>SQL>>!"
+    assert row.prompt_text == "systemRecipes.userq0 =>!"
+    assert row.response == "SYSTEMRECIPES.USERQ0 =>!"
 
 
 def test_chat_stream_equals_batch(spark, tmp_path):

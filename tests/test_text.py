@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from promptmill.functions import text as t
 from promptmill.functions.chat import ChatFormat, prompt_text
 
-SLOW = dict(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+SLOW = dict(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 def _apply(spark, values, *columns):
@@ -24,10 +24,9 @@ def test_strip_like_python(spark, values):
 
 
 def _cut(text, stops):
-    for s in stops:
-        if s in text:
-            return text.split(s)[0]
-    return text
+    places = [text.find(s) for s in stops]
+    first = next((p for p in places if p >= 0), len(text))
+    return text[:first]
 
 
 def _halt(text, stops):
