@@ -36,6 +36,7 @@ LANGUAGES = 512
 #: Sequences whose vectors a worker remembers, and documents bundled at once.
 REMEMBERED = 16_384
 _GROUP = 64
+_STEP = 4_096
 _UNDEFINED = "und"
 _GAP = re.compile(r"[\W\d_]+")
 _SCALE = 10_000
@@ -47,13 +48,13 @@ class Bundler:
     def __init__(self, dimensions: int):
         self.dimensions = dimensions
         self.letters: dict[int, int] = {}
-        self.table = np.zeros((0, dimensions), np.float32)
+        self.table = np.zeros((0, dimensions), np.int8)
         self.index = np.full(0x110000, -1, np.int32)
         self.forget()
 
     def forget(self) -> None:
         self.rows: dict[int, int] = {}
-        self.vectors = np.empty((1024, self.dimensions), np.float32)
+        self.vectors = np.empty((1024, self.dimensions), np.int8)
 
     def _letters(self, codes: np.ndarray) -> np.ndarray:
         found = self.index[codes]
@@ -61,7 +62,7 @@ class Bundler:
             for code in np.unique(codes[found < 0]).tolist():
                 row = np.random.default_rng([SEED, code]).integers(0, 2, self.dimensions) * 2 - 1
                 self.index[code] = len(self.table)
-                self.table = np.vstack([self.table, row.astype(np.float32)])
+                self.table = np.vstack([self.table, row.astype(np.int8)])
             found = self.index[codes]
         return found
 
@@ -102,10 +103,9 @@ class Bundler:
         key, doc, count = map(np.concatenate, (keys, docs, counts))
         distinct, inverse = np.unique(key, return_inverse=True)
         # A batch of very many sequences is bundled in steps, to bound the memory.
-        for start in range(0, len(distinct), REMEMBERED // 2):
-            part = distinct[start : start + REMEMBERED // 2]
-            rows = self._rows(part)
-            vectors = self.vectors[rows]
+        for start in range(0, len(distinct), _STEP):
+            part = distinct[start : start + _STEP]
+            vectors = self.vectors[self._rows(part)].astype(np.float32)
             here = (inverse >= start) & (inverse < start + len(part))
             weights = np.zeros((len(texts), len(part)), np.float32)
             weights[doc[here], inverse[here] - start] = count[here]
@@ -115,7 +115,7 @@ class Bundler:
 
 
 def bundler(dimensions: int) -> Bundler:
-    return once_per_worker(("bundler", dimensions, SEED), lambda: Bundler(dimensions))
+    return once_per_worker(("bundler", dimensions, SEED), lambda: Bundler(dimensions), alone=True)
 
 
 def train(docs: DataFrame, dimensions: int = DIMENSIONS, per_language: int = DOCS_PER_LANGUAGE) -> dict[str, np.ndarray]:

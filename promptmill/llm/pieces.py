@@ -191,7 +191,7 @@ class PieceEncoder:
 
 
 def encoder(model: bytes) -> PieceEncoder:
-    return once_per_worker(("piece encoder", hash(model)), lambda: PieceEncoder(model))
+    return once_per_worker(("piece encoder", hash(model)), lambda: PieceEncoder(model), alone=True)
 
 
 def encode_texts(docs: DataFrame, model: str = "piece_bpe_32k.model") -> DataFrame:

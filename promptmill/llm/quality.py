@@ -45,7 +45,7 @@ LEAST_EXCESS = 6.0
 #: Fit: penalty on the size of weights and on their squares, steps, step length.
 SPARSITY, PENALTY, STEPS, RATE = 2e-5, 1e-6, 400, 0.1
 GRADES = 3
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 _PARTS = re.compile(r"[^\W_]+|[\W_]+")
 _SHAPES = 7
 
@@ -60,9 +60,9 @@ class Features:
     """Hashed features of texts; remembers those of words it has met."""
 
     def __init__(self):
-        self.words: dict[str, tuple[list[int], int]] = {}
+        self.words: dict[str, tuple[tuple[int, ...], int]] = {}
 
-    def _word(self, word: str) -> tuple[list[int], int]:
+    def _word(self, word: str) -> tuple[tuple[int, ...], int]:
         """Buckets of a word and its writing: a bit for each of the shapes."""
         if len(self.words) >= REMEMBERED:
             self.words.clear()
@@ -81,7 +81,7 @@ class Features:
             len(parts) > 2,
             len(word) > 25,
         )
-        found = self.words[word] = buckets, sum(1 << i for i, s in enumerate(shapes) if s)
+        found = self.words[word] = tuple(buckets), sum(1 << i for i, s in enumerate(shapes) if s)
         return found
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -113,7 +113,7 @@ class Features:
 
 
 def _features() -> Features:
-    return once_per_worker("quality features", Features)
+    return once_per_worker("quality features", Features, alone=True)
 
 
 @dataclass

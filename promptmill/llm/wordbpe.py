@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from ..functions.worker import once_per_worker
 
 #: Words, and parts of words, remembered per worker before it starts anew (about 150 bytes each).
-REMEMBERED = 700_000
+REMEMBERED = 450_000
 #: Text encoded at once.
 SLICE_BYTES = 8 << 20
 
@@ -120,4 +120,4 @@ class WordEncoder:
 
 
 def encoder(vocabulary_json: str) -> WordEncoder:
-    return once_per_worker(("word encoder", hash(vocabulary_json)), lambda: WordEncoder(vocabulary_json))
+    return once_per_worker(("word encoder", hash(vocabulary_json)), lambda: WordEncoder(vocabulary_json), alone=True)
