@@ -105,7 +105,8 @@ class Bundler:
         # A batch of very many sequences is bundled in steps, to bound the memory.
         for start in range(0, len(distinct), _STEP):
             part = distinct[start : start + _STEP]
-            vectors = self.vectors[self._rows(part)].astype(np.float32)
+            rows = self._rows(part)  # may grow the vectors
+            vectors = self.vectors[rows].astype(np.float32)
             here = (inverse >= start) & (inverse < start + len(part))
             weights = np.zeros((len(texts), len(part)), np.float32)
             weights[doc[here], inverse[here] - start] = count[here]
