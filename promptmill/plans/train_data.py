@@ -12,14 +12,15 @@ from ..operators.batches import batch_layout, with_layout
 from ..operators.tokens import collate, tokenize
 from ..session import configure
 from ..sinks.writers import write_config, write_ingest, write_prompt_log, write_table
-from ..sources.chat import chat_lines, ingest_counts, kept, parse_chat
+from ..sources.chat import chat_lines, ingest_counts, kept, parse_chat, rejected_with_line_numbers
 from ..sources.config import TrainingSpec
-from ..sources.records import PROVENANCE
+from ..sources.records import IDENTITY, PROVENANCE, with_identity
 
 
 def prompts(conversations: DataFrame, chat_format: ChatFormat | None = None, null_content: str = "fail") -> DataFrame:
     text = prompt_text(F.col("messages"), chat_format, null_content=null_content)
-    return conversations.select(*PROVENANCE, text.alias("prompt_text"))
+    keys = [c for c in (*PROVENANCE, "src_path", "line_no") if c in conversations.columns]
+    return conversations.select(*keys, text.alias("prompt_text"))
 
 
 def run_train_data(
@@ -35,8 +36,10 @@ def run_train_data(
     """Build the training data below ``spec.output_dir`` and return the batches.
 
     ``to_ids`` is a function from a text column to a column of token ids.  Written are
-    ``ingest`` (kept and rejected lines), ``counts``, ``prompts``, ``tokens``, ``batches`` and
-    ``config``.  Each table is computed once, from the one before it.
+    ``ingest`` (kept and rejected lines), ``counts``, ``rejects`` (with line numbers), ``prompts``,
+    ``tokens``, ``batches`` and ``config``.  Each table is computed once, from the one before it.
+    The seeded order depends on source, path below the source and line number only, not on how the
+    files are split or where they lie.
     """
     configure(spark)
     out = spec.output_dir.rstrip("/")
@@ -44,19 +47,21 @@ def run_train_data(
         raise ValueError("padding to the maximum needs max_length")
 
     parsed_path = f"{out}/ingest"
-    parsed = parse_chat(chat_lines(spark, spec.datasets))
+    lines = chat_lines(spark, spec.datasets)
+    parsed = parse_chat(lines)
     write_ingest(parsed, parsed_path)
     parsed = spark.read.schema(parsed.schema).parquet(parsed_path)
     write_table(ingest_counts(parsed), f"{out}/counts")
+    write_table(rejected_with_line_numbers(lines, parsed), f"{out}/rejects")
 
-    prompt_rows = prompts(kept(parsed), chat_format, null_content)
+    prompt_rows = prompts(with_identity(lines, kept(parsed), spec.datasets), chat_format, null_content)
     write_prompt_log(prompt_rows, "prompt_text", f"{out}/prompts")
     prompt_rows = spark.read.schema(prompt_rows.schema).parquet(f"{out}/prompts")
 
     tokens = tokenize(
         prompt_rows,
         to_ids(F.col("prompt_text")),
-        keep=PROVENANCE,
+        keep=IDENTITY,
         max_length=max_length,
         pad_id=pad_id if spec.pad_to_max_length else None,
         add_labels=False,
@@ -67,15 +72,15 @@ def run_train_data(
     # Only the key and the length are read for the layout, not the ids.
     length = F.lit(max_length).alias("n") if spec.pad_to_max_length else F.col("n_tokens").alias("n")
     layout = batch_layout(
-        tokens.select(*PROVENANCE, length),
-        PROVENANCE,
+        tokens.select(*IDENTITY, length),
+        IDENTITY,
         "n",
         spec.batch_size,
         spec.gradient_accumulation_steps,
         spec.num_epochs,
         spec.seed,
     )
-    batches = collate(with_layout(tokens, layout, PROVENANCE), pad_id)
+    batches = collate(with_layout(tokens, layout, IDENTITY), pad_id)
     # A batch never crosses a shard, and a shard is in order.  Shards follow from the dense batch
     # number, so they are even and need no sampling pass, as a range partitioning would.
     batches = (

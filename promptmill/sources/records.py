@@ -7,17 +7,21 @@ VARIANT ``rec`` and its JSON text ``raw``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.variants import is_object, with_strict_json
 from .json_array import read_array_elements
 
 PROVENANCE = ["src_idx", "src_file", "block_start", "seq"]
+# What a line is called wherever its files lie and however they are split.
+IDENTITY = ["src_idx", "src_path", "line_no"]
 _SNIFF_THREADS = 32
 
 
@@ -75,6 +79,27 @@ def line_numbers(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
+def relative_path(roots: Sequence[str]) -> Column:
+    """The path of ``src_file`` below the root of its source; the file's name if it is the root.
+
+    A root that is a pattern leaves the whole path, which is at least unique.
+    """
+    file = F.col("src_file")
+    path = file
+    for i, root in enumerate(roots):
+        below = quote(re.sub(r"^[a-z][a-z0-9+.-]*:(//[^/]*)?", "", root).rstrip("/"), safe="/%:=@&+$,;~!'()-_.")
+        inside = F.locate(f"{below}/", file)
+        rest = F.substring(file, inside + len(below) + 1, F.length(file))
+        name = F.when(F.endswith(file, F.lit(below)), F.element_at(F.split(file, "/"), -1)).otherwise(file)
+        path = F.when(F.col("src_idx") == i, F.when(inside > 0, rest).otherwise(name)).otherwise(path)
+    return path
+
+
+def with_identity(lines: DataFrame, rows: DataFrame, roots: Sequence[str]) -> DataFrame:
+    """``rows``, a subset of ``lines``, with the columns of ``IDENTITY`` added."""
+    return line_numbers(lines, rows).withColumn("src_path", relative_path(roots))
+
+
 def parse_records(lines: DataFrame) -> DataFrame:
     """Strict parse of lines: blank lines are skipped, a malformed one ends the job."""
     problem = F.concat(

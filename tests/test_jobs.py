@@ -1,17 +1,22 @@
 from __future__ import annotations
 
 import json
+import os
+import uuid
 
 import pytest
 import yaml
 from pyspark.sql import functions as F
 
 from promptmill.functions.chat import ChatFormat
+from promptmill.operators.predict import predict_roster
+from promptmill.operators.scoring import join_predictions
 from promptmill.operators.templates import Template
 from promptmill.operators.tokens import hashed_ids
 from promptmill.plans.evaluate import run_evaluate
 from promptmill.plans.render import run_render
 from promptmill.plans.train_data import run_train_data
+from promptmill.sinks.writers import RUN_LOG_COLUMNS, read_run_log, write_run_log
 from promptmill.session import materialize, scratch_path, shared_dir
 from promptmill.sources.chat import parse_chat
 from promptmill.sources.config import EvaluateSpec, InferenceSpec, ModelSpec, RenderSpec, TrainingSpec, load_yaml
@@ -95,6 +100,63 @@ def test_train_data_job(spark, tmp_path):
     assert {len(r.input_ids) for r in padded.collect()} == {5}
 
 
+def test_seeded_order_depends_on_the_lines_only(spark, tmp_path):
+    orders = []
+    for folder, split in (("first place", "64"), ("second", "134217728")):
+        source = tmp_path / folder / "data"
+        source.mkdir(parents=True)
+        for name in ("a.jsonl", "b.jsonl"):
+            said = [json.dumps({"messages": [{"role": "user", "content": f"{name} {i}"}]}) for i in range(40)]
+            (source / name).write_text("\n".join(["", *said[:20], "{bad", *said[20:]]) + "\n")
+        spec = TrainingSpec((str(source),), str(tmp_path / folder / "out"), batch_size=4, seed=3)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            batches = run_train_data(spark, spec, lambda t: hashed_ids(t, 1000, 10), pad_id=0)
+            orders.append(sorted((r.row_index, r.src_path, r.line_no) for r in batches.collect()))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        rejects = spark.read.parquet(str(tmp_path / folder / "out/rejects")).collect()
+        assert [(r.line_no, r.reason, r.line) for r in rejects] == [(22, "malformed", "{bad")] * 2
+    assert orders[0] == orders[1] and len(orders[0]) == 80
+    assert {path for _, path, _ in orders[0]} == {"a.jsonl", "b.jsonl"}
+
+
+def test_models_load_once_per_worker(spark, tmp_path):
+    def factory(model):
+        (tmp_path / f"{os.getpid()}-{uuid.uuid4().hex}").touch()
+        return lambda prompts, cap: list(prompts)
+
+    items = spark.range(200).repartition(50).select(F.col("id").cast("string").alias("p"))
+    roster = [ModelSpec("m")]
+    assert predict_roster(items, "p", roster, factory).filter("p = prediction").count() == 200
+    loads = [p.name.split("-")[0] for p in tmp_path.iterdir()]
+    assert len(loads) == len(set(loads))
+
+
+def test_repeated_run_forgets_models_that_left_the_roster(spark, tmp_path):
+    kinds = {"model_idx": "int", "exact": "int"}
+    schema = ", ".join(f"{c} {kinds.get(c, 'string')}" for c in RUN_LOG_COLUMNS)
+
+    def rows(*answers):
+        values = [(k, name, "1", "q", "p", a, "x", int(a == "x")) for k, (name, a) in enumerate(answers)]
+        return spark.createDataFrame(values, schema)
+
+    path = str(tmp_path / "log")
+    write_run_log(rows(("bad", "y"), ("good", "x")), "r 1", path)
+    write_run_log(rows(("other", "y")), "r2", path)
+    write_run_log(rows(("good", "x")), "r 1", path)
+    assert [(r.name, r.exact) for r in read_run_log(spark, path, "r 1").collect()] == [("good", 1)]
+    assert read_run_log(spark, path, "r2").count() == 1
+
+
+def test_two_predictions_for_an_item_are_refused(spark):
+    pairs = spark.createDataFrame([(0, "a")], "model_idx int, item_id string")
+    twice = spark.createDataFrame([(0, "a", "x"), (0, "a", "y")], "model_idx int, item_id string, prediction string")
+    assert join_predictions(pairs, twice.limit(1)).first().prediction == "x"
+    with pytest.raises(Exception, match="two predictions"):
+        join_predictions(pairs, twice).collect()
+
+
 MODELS = [{"base_model_path": "m/one"}, {"name": "two", "base_model_path": "m/two", "adapters": ["a"]}]
 
 
