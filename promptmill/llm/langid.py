@@ -7,6 +7,11 @@ documents' vectors, each scaled to the same length.  The mean of all prototypes
 it holds what languages share.  A document gets the language whose prototype has the largest cosine
 with it; the score is (1 + cosine) / 2.
 
+The best of centred cosines is never negative, so it cannot tell a document that is like no language.
+``like_learned`` uses plain cosines for that: a document is like a language when its cosine reaches
+``SHARE`` of the cosine that all but the lowest tenth of the language's documents of its length reach
+(the length in classes of powers of two; each document compared with the sum of the others).
+
 Learning takes up to ``DOCS_PER_LANGUAGE`` documents of each of the ``LANGUAGES`` most frequent
 languages, chosen by a hash of doc_id (documented bounds on the fit, nothing else); prediction reads
 every whole text.
@@ -40,6 +45,10 @@ _STEP = 4_096
 _UNDEFINED = "und"
 _GAP = re.compile(r"[\W\d_]+")
 _SCALE = 10_000
+#: A document is like a language from this share of the lowest tenth's cosine; rows a class needs.
+SHARE = 0.5
+LEAST_ROWS = 20
+_CLASSES = 32
 
 
 class Bundler:
@@ -91,8 +100,8 @@ class Bundler:
             self.rows.update(zip(new, range(first, first + len(new))))
         return np.fromiter(map(self.rows.__getitem__, keys.tolist()), np.int64, len(keys))
 
-    def bundle(self, texts: list[str | None]) -> np.ndarray:
-        """One row per text: its unit vector, or zeros for a text without letters."""
+    def bundle(self, texts: list[str | None], lengths: bool = False):
+        """One row per text: its unit vector, or zeros for a text without letters; ``lengths``: its sequences too."""
         found = np.zeros((len(texts), self.dimensions), np.float32)
         keys, docs, counts = [], [], []
         for i, text in enumerate(texts):
@@ -112,20 +121,25 @@ class Bundler:
             weights[doc[here], inverse[here] - start] = count[here]
             found += weights @ vectors
         norms = np.linalg.norm(found, axis=1, keepdims=True)
-        return np.divide(found, norms, out=found, where=norms > 0)
+        unit = np.divide(found, norms, out=found, where=norms > 0)
+        return (unit, np.array([c.sum() for c in counts], np.int64)) if lengths else unit
 
 
 def bundler(dimensions: int) -> Bundler:
     return once_per_worker(("bundler", dimensions, SEED), lambda: Bundler(dimensions), alone=True)
 
 
-def train(docs: DataFrame, dimensions: int = DIMENSIONS, per_language: int = DOCS_PER_LANGUAGE) -> dict[str, np.ndarray]:
-    """Prototypes by language of ``docs`` (doc_id, text, lang); all of them may be learned from."""
+def _learned_from(docs: DataFrame, per_language: int) -> DataFrame:
     known = docs.filter("lang is not null and doc_id is not null").select("doc_id", "text", "lang")
     counts = known.groupBy("lang").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "lang").limit(LANGUAGES)
     # A hash in 0..2^20-1 below the share that the bound leaves of the language.
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    chosen = known.join(F.broadcast(counts), "lang").filter(draw * F.col("_n") <= F.lit(per_language << 20))
+    return known.join(F.broadcast(counts), "lang").filter(draw * F.col("_n") <= F.lit(per_language << 20))
+
+
+def sums_by_language(docs: DataFrame, dimensions: int = DIMENSIONS, per_language: int = DOCS_PER_LANGUAGE) -> dict[str, np.ndarray]:
+    """The sum of the unit vectors of each language of ``docs`` (doc_id, text, lang)."""
+    chosen = _learned_from(docs, per_language)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -146,8 +160,14 @@ def train(docs: DataFrame, dimensions: int = DIMENSIONS, per_language: int = DOC
     summed = partial.select("lang", F.posexplode("vector")).groupBy("lang", "pos").agg(F.sum("col").alias("sum"))
     one = F.array_sort(F.collect_list(F.struct("pos", "sum")))
     rows = summed.groupBy("lang").agg(F.transform(one, lambda e: e["sum"]).alias("vector")).collect()
-    prototypes = {row["lang"]: np.array(row["vector"], np.float64) for row in sorted(rows, key=lambda r: r["lang"])}
-    prototypes = {lang: v / np.linalg.norm(v) for lang, v in prototypes.items() if v.any()}
+    found = {row["lang"]: np.array(row["vector"], np.float64) for row in sorted(rows, key=lambda r: r["lang"])}
+    return {lang: v / _SCALE for lang, v in found.items() if v.any()}
+
+
+def train(docs: DataFrame, dimensions: int = DIMENSIONS, per_language: int = DOCS_PER_LANGUAGE) -> dict[str, np.ndarray]:
+    """Prototypes by language of ``docs`` (doc_id, text, lang); all of them may be learned from."""
+    sums = sums_by_language(docs, dimensions, per_language)
+    prototypes = {lang: v / np.linalg.norm(v) for lang, v in sums.items()}
     if len(prototypes) > 1:
         mean = np.mean(list(prototypes.values()), axis=0)
         prototypes = {lang: v - mean for lang, v in prototypes.items()}
@@ -182,3 +202,76 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], columns: tuple[s
     chosen = docs.select(*columns, F.col("text").alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
     return chosen.mapInArrow(batches, f"{schema}, lang_pred string, score double")
+
+
+def least_cosines(docs: DataFrame, sums: dict[str, np.ndarray], per_language: int = DOCS_PER_LANGUAGE) -> np.ndarray:
+    """The cosine from which a document is like a language: a row per language, a column per length class.
+
+    A class of too few rows takes the next shorter one; shorter than any, the shortest one scaled with
+    the root of the length.  A language without classes takes the lowest of the others; without any
+    class at all, three deviations of the cosine of a random vector.
+    """
+    langs = list(sums)
+    dimensions = len(sums[langs[0]]) if langs else DIMENSIONS
+    place = {lang: i for i, lang in enumerate(langs)}
+    matrix = docs.sparkSession.sparkContext.broadcast(np.array(list(sums.values())).reshape(len(langs), dimensions))
+
+    def cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squares = (matrix.value**2).sum(axis=1)
+        for batch in batches:
+            at_lang = [place.get(lang, -1) for lang in batch.column(0).to_pylist()]
+            for at in range(0, len(batch), _GROUP):
+                vectors, lengths = bundler(dimensions).bundle(batch.column(1).slice(at, _GROUP).to_pylist(), lengths=True)
+                own = np.array(at_lang[at : at + _GROUP])
+                use = (own >= 0) & (lengths > 0)
+                own, vectors = own[use], vectors[use].astype(np.float64)
+                dots = (vectors * matrix.value[own]).sum(axis=1)
+                # Without the document's own part of the sum.
+                others = squares[own] - 2 * dots + 1
+                alone = others < 0.5
+                value = (dots - 1) / np.sqrt(np.where(alone, 1, others))
+                columns = [own[~alone], _length_class(lengths[use])[~alone], value[~alone]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["lang", "class", "cosine"])
+
+    found = np.full((len(langs), _CLASSES), np.nan)
+    if langs:
+        rows = _learned_from(docs, per_language).select("lang", "text").mapInArrow(cosines, "lang long, class long, cosine double")
+        grouped = rows.groupBy("lang", "class").agg(F.percentile_approx("cosine", 0.1, 10_000).alias("low"), F.count("*").alias("n"))
+        for row in grouped.filter(F.col("n") >= LEAST_ROWS).collect():
+            found[row["lang"], row["class"]] = SHARE * row["low"]
+    for own in found:
+        having = np.flatnonzero(~np.isnan(own))
+        if len(having):
+            shorter = np.searchsorted(having, np.arange(_CLASSES), "right") - 1
+            first = own[having[0]] * 2.0 ** ((np.arange(_CLASSES) - having[0]) / 2)
+            own[:] = np.where(shorter >= 0, own[having[shorter]], first)
+    missing = np.isnan(found).all(axis=1)
+    found[missing] = 3 / np.sqrt(dimensions) if missing.all() else found[~missing].min(axis=0)
+    return found
+
+
+def _length_class(lengths: np.ndarray) -> np.ndarray:
+    return np.log2(np.maximum(lengths, 1)).astype(np.int64)
+
+
+def like_learned(docs: DataFrame, sums: dict[str, np.ndarray], least: np.ndarray, columns: tuple[str, ...]) -> DataFrame:
+    """``columns`` of ``docs``, with whether the text is ``like`` a language of ``sums``."""
+    dimensions = len(next(iter(sums.values()))) if sums else DIMENSIONS
+    units = np.array([v / np.linalg.norm(v) for v in sums.values()], np.float32).reshape(len(sums), dimensions)
+    sent = docs.sparkSession.sparkContext.broadcast((units, least))
+
+    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units, least = sent.value
+        for batch in rows:
+            like = []
+            texts = batch.column(batch.num_columns - 1)
+            for at in range(0, len(batch), _GROUP):
+                vectors, lengths = bundler(dimensions).bundle(texts.slice(at, _GROUP).to_pylist(), lengths=True)
+                reached = vectors @ units.T >= least[:, _length_class(lengths)].T
+                like += (reached.any(axis=1) & (lengths > 0)).tolist()
+            kept = [batch.column(i) for i in range(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(like, pa.bool_())], names=[*columns, "like"])
+
+    chosen = docs.select(*columns, F.col("text").alias("_text"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
+    return chosen.mapInArrow(batches, f"{schema}, like boolean")

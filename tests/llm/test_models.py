@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import base64
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -155,3 +158,16 @@ def test_stages_of_nothing(spark, make_docs):
     docs = make_docs([])
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SMALL).count() == 0, name
+
+
+def test_language_stage_rejects_gibberish_and_unlearned_languages(spark, make_docs):
+    rng = random.Random(3)
+    clean = table(spark, MIDDLE, "documents").join(table(spark, MIDDLE, "labels").filter("quality = 1 and toxic = 0"), "doc_id")
+    rows = [(r.doc_id, r.text, r.lang) for r in clean.collect()]
+    finnish = "talo kissa juoksee metsässä kauniisti vanha lapsi lukee kirjaa hyvää huomenta järvi kylmä tuuli".split()
+    odd = [(-1, " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(300)), "en")]
+    odd += [(-2, base64.b64encode(rng.randbytes(2_000)).decode(), "en"), (-3, " ".join(rng.choices(finnish, k=300)), None)]
+    odd += [(-4, "123", "en"), (-5, None, "en")]
+    kept = {r.doc_id for r in corpus_pipeline.language_stage(spark, make_docs(rows + odd), MIDDLE).collect()}
+    assert min(kept) >= 0
+    assert len(kept) >= 0.995 * len(rows)
