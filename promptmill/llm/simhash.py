@@ -52,16 +52,18 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """Rows doc_id, fp (the fingerprint as a signed long)."""
+def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, columns: tuple[str, ...] = ()) -> DataFrame:
+    """Rows doc_id, fp (the fingerprint as a signed long) and the long ``columns`` of ``docs``."""
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             found = np.array([fingerprint(t.as_py(), words) for t in batch.column(1)], np.uint64)
             ids = batch.column(0).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([ids, pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            others = [batch.column(i) for i in range(2, batch.num_columns)]
+            yield pa.RecordBatch.from_arrays([ids, pa.array(found.view(np.int64)), *others], names=["doc_id", "fp", *columns])
 
-    return docs.select("doc_id", "text").mapInArrow(batches, "doc_id long, fp long")
+    schema = ", ".join(f"`{c}` long" for c in ("doc_id", "fp", *columns))
+    return docs.select("doc_id", "text", *columns).mapInArrow(batches, schema)
 
 
 def _syndromes(halves: np.ndarray) -> np.ndarray:
@@ -175,3 +177,18 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int =
     ids = own.join(smallest, "component").select("fp", "component_id")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return fps.join(ids, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def first_rows(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
+    """The ``row`` of ``docs`` (row, doc_id, text) that each group keeps.
+
+    A group is what links join, whatever its ids.  Its row of the smallest doc_id stays, then of the
+    smallest text hash, then the first one; a null id is larger than any.
+    """
+    keyed = docs.select("row", "doc_id", "text", F.xxhash64("text").alias("hash"))
+    fps = materialize(fingerprints(keyed, words, ("hash", "row")), "fingerprints")
+    groups = components(linked_fingerprints(fps, distance)).withColumnRenamed("node", "fp")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "hash", "row")
+    own = fps.groupBy("fp").agg(F.min(order).alias("first"))
+    own = own.join(groups, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    return own.groupBy("component").agg(F.min("first").alias("first")).select("first.row")

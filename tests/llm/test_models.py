@@ -171,3 +171,14 @@ def test_language_stage_rejects_gibberish_and_unlearned_languages(spark, make_do
     kept = {r.doc_id for r in corpus_pipeline.language_stage(spark, make_docs(rows + odd), MIDDLE).collect()}
     assert min(kept) >= 0
     assert len(kept) >= 0.995 * len(rows)
+
+
+def test_near_duplicate_stage_decides_by_row(spark, make_docs):
+    one = "the first text has a number of words that nobody else in this table happens to use"
+    two = "quite another story is told here, about ships and harbours and the wind of the north sea"
+    three = "no identifier belongs to these lines of prose, which were found twice on an old server"
+    rows = [(1, one, "en"), (5, one, "en"), (5, two, "en"), (None, three, "en"), (None, three, "en"), (9, two, "en")]
+    rows += [(None, one, "en"), (7, None, "en"), (7, "a seventh document, with words of its own in every place", "en")]
+    kept = corpus_pipeline.near_duplicate_stage(spark, make_docs(rows), SMALL).select("doc_id", "text").collect()
+    expected = [(1, one), (5, two), (None, three), (7, None), (7, rows[-1][1])]
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, expected))
