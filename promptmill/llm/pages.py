@@ -8,7 +8,9 @@ sidebars or forms, or inside one that its class, id or role names so.  A decisio
 labelled blocks of ``EXAMPLES``, keeps a block or drops it.
 
 Defined cases: a null or empty page, and one without a kept block, has an empty text; unclosed tags,
-comments and scripts are read as browsers do (the latter two to the end); repeated rows stay; an
+comments and scripts are read as browsers do (the latter two to the end); what buttons, selects,
+objects, drawings, templates and noscript hold is dropped up to their own end tag or that of an
+element around them, and nothing is dropped for one without an end tag; repeated rows stay; an
 empty table gives no rows; other columns are ignored.
 """
 
@@ -44,9 +46,11 @@ _OUTSIDE_WORDS = frozenset(
 )
 # Those that tell an article or main element to be none.
 _READER_WORDS = frozenset("ad ads advert comment comments promo recommended related reply replies sponsored".split())
+# Elements whose inside is no text of the page.
+_DROPPED = frozenset("button noscript object select svg template".split())
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|iframe|object|textarea|title|button|select)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|iframe|textarea|title)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[a-z/!?][^>]*>",
     re.IGNORECASE | re.DOTALL,
@@ -94,6 +98,22 @@ def _standing(name: str, rest: str, where: int, named_outside: bool) -> tuple[in
     return where, False
 
 
+def _dropped_spans(tags: list[re.Match]) -> dict[int, int]:
+    """Where the inside of dropped elements starts and ends; one without an end tag has no inside."""
+    opened: dict[str, list[int]] = {}
+    spans: dict[int, int] = {}
+    for tag in tags:
+        name = (tag["name"] or "").lower()
+        if name not in _DROPPED:
+            continue
+        if not tag["close"]:
+            if not (name == "svg" and tag["rest"].endswith("/")):
+                opened.setdefault(name, []).append(tag.end())
+        elif opened.get(name):
+            spans[opened[name].pop()] = tag.start()
+    return spans
+
+
 def blocks(page: str | None) -> list[Block]:
     """All blocks of a page that have text."""
     page = page or ""
@@ -118,14 +138,28 @@ def blocks(page: str | None) -> list[Block]:
             if in_link:
                 block.linked.append(text)
 
-    at = 0
-    for tag in _TAG.finditer(page):
-        add(page[at : tag.start()])
+    tags = list(_TAG.finditer(page))
+    spans = _dropped_spans(tags)
+    at, dropped_to, inner = 0, 0, []
+    for tag in tags:
+        if at >= dropped_to:
+            add(page[at : tag.start()])
         at = tag.end()
         name = (tag["name"] or "").lower()
         if not name:
             continue
         closing, rest = bool(tag["close"]), tag["rest"]
+        if at <= dropped_to:
+            if name in _NESTING and not closing:
+                inner.append(name)
+            elif name in inner:
+                del inner[len(inner) - 1 - inner[::-1].index(name) :]
+            elif closing and name in _NESTING and any(name == s[0] for s in stack):
+                dropped_to = 0  # the end of an element around the dropped one
+            if dropped_to:
+                continue
+        elif at in spans:
+            dropped_to, inner = spans[at], []
         if name == "a":
             in_link = not closing and bool(rest)
         elif name == "br":

@@ -182,3 +182,18 @@ def test_near_duplicate_stage_decides_by_row(spark, make_docs):
     kept = corpus_pipeline.near_duplicate_stage(spark, make_docs(rows), SMALL).select("doc_id", "text").collect()
     expected = [(1, one), (5, two), (None, three), (7, None), (7, rows[-1][1])]
     assert sorted(map(str, map(tuple, kept))) == sorted(map(str, expected))
+
+
+@pytest.mark.parametrize(
+    "lead",
+    [
+        '<svg viewBox="0 0 1 1"/>', "<button>", "<select>", "<object data=x>", '<svg-icon name="a"></svg-icon>', "<title-bar></title-bar>",
+        "<button-group>", "<div><button>Menu</div>", "<svg><path d=x></svg>", "<button>Menu<div>it</div></button>", "<template><p>no</template>",
+        "<noscript><p>Turn it on</p></noscript>", "<svg><svg/><text>a</text></svg>",
+    ],
+)
+def test_pages_lose_no_text_to_unclosed_or_custom_elements(lead):
+    prose = "This is a sentence of some length, as paragraphs of articles have them, with a few more words in it."
+    tail = "<button>Send</button><svg><title>x</title></svg>"
+    page = f"<body>{lead}<article><p>{prose}</p><p>A <svg><text>i</text></svg>line {prose}</p></article>{tail}</body>"
+    assert pages.main_text(page, pages.grow()) == f"{prose}\nA line {prose}"
