@@ -4,7 +4,8 @@ A page is read once, tag by tag, into a flat list of blocks: text between block-
 part of it that is inside links.  A block's features are its words and link density, those of the
 blocks before and after it, whether it is a heading or list item, and what the page says about
 where it stands: inside an article or main element, inside an element for menus, headers, footers,
-sidebars or forms, or inside one that its class, id or role names so.  A decision tree, grown from the
+sidebars or forms, or inside one that its class, id or role names so, unless that would put the page's
+own article outside (see ``main_text``).  A decision tree, grown from the
 labelled blocks of ``EXAMPLES``, keeps a block or drops it.
 
 Defined cases: a null or empty page, and one without a kept block, has an empty text; unclosed tags,
@@ -56,9 +57,13 @@ _TAG = re.compile(
     re.IGNORECASE | re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b", re.IGNORECASE)
+# What follows one of these in a class tells how a page is laid out, not what the element is.
+_LAYOUT = frozenset("has no with without".split())
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 NOWHERE, INSIDE, OUTSIDE = 0, 1, 2
+# What made an element outside for good: a name, a name of what readers or others wrote, being hidden.
+UNNAMED, NAMED, READERS, HIDDEN = 0, 1, 2, 3
 
 
 @dataclass
@@ -68,34 +73,55 @@ class Block:
     where: int = NOWHERE
     heading: bool = False
     item: bool = False
+    #: Tag position of the outermost element that a name, or being a form, puts outside (-1: none), and what did.
+    wrapper: int = -1
+    cause: int = UNNAMED
     text: str = ""
     words: int = 0
     links: float = 0.0
 
 
-def _standing(name: str, rest: str, where: int, named_outside: bool) -> tuple[int, bool]:
-    """Where the inside of an element stands, and whether it was named as outside for good."""
-    if named_outside:
-        return OUTSIDE, True
+def _names(text: str) -> set[str]:
+    """The words of a class or id; of each name, those before a layout word."""
+    words = set()
+    for name in text.split():
+        for word in map(str.lower, _NAME_PARTS.findall(name)):
+            if word in _LAYOUT:
+                break
+            words.add(word)
+    return words
+
+
+def _standing(name: str, rest: str, where: int, named: int, lift: bool = False, void: bool = False) -> tuple[int, int]:
+    """Where the inside of an element stands, and what made it outside for good.
+
+    A main element, with ``lift`` also an article, is not outside for the name of an element around it;
+    with ``void`` the element's own name and being a form say nothing.
+    """
+    if named == HIDDEN:
+        return OUTSIDE, HIDDEN
     found = {}
     for key, *values, hidden in _ATTRIBUTE.findall(rest):
         found[(key or hidden).lower()] = next((v for v in values if v), "")
-    words = {w.lower() for key in ("class", "id") for w in _NAME_PARTS.findall(found.get(key, ""))}
     style = found.get("style", "").replace(" ", "").lower()
     role = found.get("role", "").lower()
     if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style:
-        return OUTSIDE, True
-    if name == "body":
-        return where, False  # its classes describe the whole page
-    telling = _OUTSIDE_WORDS & (_READER_WORDS if name in _CONTENT else _OUTSIDE_WORDS)
-    if words & telling or role in _OUTSIDE_ROLES:
-        return OUTSIDE, True
+        return OUTSIDE, HIDDEN
+    is_main, is_article = name == "main" or role == "main", name == "article" or role == "article"
+    if named and not (is_main or (lift and named == NAMED and is_article)):
+        return OUTSIDE, named
+    if name == "body" or void:
+        return where, UNNAMED  # its classes describe the whole page
+    words = _names(found.get("class", "")) | _names(found.get("id", ""))
+    telling = words & _OUTSIDE_WORDS & (_READER_WORDS if name in _CONTENT else _OUTSIDE_WORDS)
+    if telling or role in _OUTSIDE_ROLES:
+        return OUTSIDE, READERS if telling & _READER_WORDS or not telling else NAMED
     if name in _CONTENT or role in _CONTENT_ROLES or (name in ("div", "section", "td") and words & _CONTENT_WORDS):
-        return INSIDE, False
+        return INSIDE, UNNAMED
     if name in _OUTSIDE:
         # The header of an article holds its heading.
-        return (INSIDE if name == "header" and where == INSIDE else OUTSIDE), False
-    return where, False
+        return (INSIDE if name == "header" and where == INSIDE else OUTSIDE), UNNAMED
+    return where, UNNAMED
 
 
 def _dropped_spans(tags: list[re.Match]) -> dict[int, int]:
@@ -114,12 +140,13 @@ def _dropped_spans(tags: list[re.Match]) -> dict[int, int]:
     return spans
 
 
-def blocks(page: str | None) -> list[Block]:
-    """All blocks of a page that have text."""
+def blocks(page: str | None, lift: bool = False, void: frozenset[int] = frozenset()) -> list[Block]:
+    """All blocks of a page that have text; elements at the positions ``void`` are not judged by name."""
     page = page or ""
     found: list[Block] = []
-    stack: list[tuple[str, int, bool]] = []
-    where, named, heading, item, in_link = NOWHERE, False, False, False, False
+    stack: list[tuple[str, int, int, tuple[int, int]]] = []
+    where, named, heading, item, in_link = NOWHERE, UNNAMED, False, False, False
+    nothing = wrapped = (-1, UNNAMED)
     block = Block()
 
     def close() -> None:
@@ -129,7 +156,7 @@ def blocks(page: str | None) -> list[Block]:
             block.words = len(block.text.split())
             block.links = len("".join("".join(block.linked).split())) / len(block.text.replace(" ", ""))
             found.append(block)
-        block = Block(where=where, heading=heading, item=item)
+        block = Block(where=where, heading=heading, item=item, wrapper=wrapped[0], cause=wrapped[1])
 
     def add(text: str) -> None:
         if text:
@@ -169,15 +196,20 @@ def blocks(page: str | None) -> list[Block]:
         if closing:
             if name in _NESTING and any(name == s[0] for s in stack):
                 while True:
-                    last, where_before, named_before = stack.pop()
+                    last, where_before, named_before, wrapped_before = stack.pop()
                     if last == name:
                         break
-                where, named = where_before, named_before
+                where, named, wrapped = where_before, named_before, wrapped_before
             heading, item = False, False if name in ("li", "ul", "ol", "menu") else item
         else:
             if name in _NESTING:
-                stack.append((name, where, named))
-                where, named = _standing(name, rest, where, named)
+                stack.append((name, where, named, wrapped))
+                where, named = _standing(name, rest, where, named, lift, tag.start() in void)
+                form = name == "form" and where == OUTSIDE and not named
+                if where != OUTSIDE or named == HIDDEN:
+                    wrapped = nothing
+                elif wrapped == nothing and (named or form):
+                    wrapped = tag.start(), named or NAMED
             heading = len(name) == 2 and name[0] == "h" and name[1].isdigit()
             item = name == "li" or (item and name not in _NESTING)
         in_link = in_link and name not in _NESTING
@@ -313,17 +345,47 @@ def grow(examples: str = EXAMPLES) -> Tree:
     return tree
 
 
-def main_text(page: str | None, tree: Tree) -> str:
-    """The kept blocks of a page, one a line."""
-    found = blocks(page)
+def _kept(found: list[Block], tree: Tree) -> list[str]:
     inside = any(b.where == INSIDE for b in found)
     sizes = [(0, 0.0), *((b.words, b.links) for b in found), (0, 0.0)]
-    kept = (
+    return [
         b.text
         for i, b in enumerate(found, 1)
         if tree.decide((b.where, inside, b.heading, b.item, *sizes[i], *sizes[i - 1], *sizes[i + 1]))
-    )
-    return "\n".join(kept)
+    ]
+
+
+def _misnamed(found: list[Block], kept: bool) -> int:
+    """The position of an element that is outside by name and holds most of the page's unlinked words, or -1.
+
+    What readers or others wrote may be most of a page; it counts only where nothing else is kept.
+    """
+    unlinked: dict[int, float] = {}
+    for b in found:
+        if b.wrapper >= 0 and not (b.cause == READERS and kept):
+            unlinked[b.wrapper] = unlinked.get(b.wrapper, 0.0) + b.words * (1 - b.links)
+    most = max(unlinked, key=unlinked.__getitem__, default=-1)
+    return most if most >= 0 and 2 * unlinked[most] > sum(b.words * (1 - b.links) for b in found) else -1
+
+
+def main_text(page: str | None, tree: Tree) -> str:
+    """The kept blocks of a page, one a line.
+
+    Names of elements may mislead.  On a page without an inside, an article within a named element is
+    one; if there is still none, an element that is outside by its name, or a form, and holds most of
+    the page's unlinked words is judged by its blocks.
+    """
+    found = blocks(page)
+    lift, void = False, frozenset()
+    while any(b.wrapper >= 0 for b in found) and not any(b.where == INSIDE for b in found):
+        if not lift:
+            lift = True
+        elif (at := _misnamed(found, bool(_kept(found, tree)))) >= 0:
+            void |= {at}
+        else:
+            break
+        found = blocks(page, lift, void)
+    return "\n".join(_kept(found, tree))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:

@@ -197,3 +197,31 @@ def test_pages_lose_no_text_to_unclosed_or_custom_elements(lead):
     tail = "<button>Send</button><svg><title>x</title></svg>"
     page = f"<body>{lead}<article><p>{prose}</p><p>A <svg><text>i</text></svg>line {prose}</p></article>{tail}</body>"
     assert pages.main_text(page, pages.grow()) == f"{prose}\nA line {prose}"
+
+
+PROSE = "This is a sentence of some length, as paragraphs of articles have them, with a few more words in it."
+
+
+@pytest.mark.parametrize(
+    "start, end",
+    [
+        ('<div class="has-sidebar">', "</div>"), ('<div class="content-with-sidebar">', "</div>"), ('<div class="page no-comments">', "</div>"),
+        ('<div class="social-history">', "</div>"), ('<div id="search-result-page">', "</div>"), ("<form>", "</form>"),
+        ('<div class="social"><div class="search">', "</div></div>"), ('<div class="sidebar"><article>', "</article></div>"),
+        ('<div class="comments"><main>', "</main></div>"), ('<div class="search"><div class="content">', "</div></div>"),
+    ],
+)
+def test_a_name_alone_does_not_drop_the_article(start, end):
+    tree = pages.grow()
+    menu = '<div class="menu"><a href=a>Home</a> <a href=b>News</a></div>'
+    notice = '<div class="cookie-notice"><p>We use cookies here.</p></div>'
+    page = f"<body>{menu}{start}<h2>Head</h2><p>{PROSE}</p>{notice}<p>{PROSE}</p>{end}<div class=footer>All rights</div></body>"
+    assert pages.main_text(page, tree) == f"Head\n{PROSE}\n{PROSE}"
+
+
+def test_names_still_drop_what_is_beside_the_article():
+    tree = pages.grow()
+    comments = f'<div class="comments"><article><p>{PROSE}</p></article><p>{PROSE}</p><p>{PROSE}</p></div>'
+    assert pages.main_text(f"<p>{PROSE}</p>{comments}", tree) == PROSE
+    assert pages.main_text(f"<article><p>{PROSE}</p></article>{comments}<aside class=sidebar><p>{PROSE * 5}</p></aside>", tree) == PROSE
+    assert pages.main_text(f"<div hidden class=social><main><p>{PROSE}</p></main></div>", tree) == ""
