@@ -11,7 +11,7 @@ from ..functions.chat import ChatFormat, prompt_text
 from ..operators.batches import batch_layout, with_layout
 from ..operators.tokens import collate, tokenize
 from ..session import configure
-from ..sinks.writers import write_config, write_ingest, write_prompt_log, write_table
+from ..sinks.writers import read_back, write_config, write_ingest, write_prompt_log, write_table
 from ..sources.chat import chat_lines, ingest_counts, kept, parse_chat, rejected_with_line_numbers
 from ..sources.config import TrainingSpec
 from ..sources.records import IDENTITY, PROVENANCE, with_identity
@@ -50,13 +50,13 @@ def run_train_data(
     lines = chat_lines(spark, spec.datasets)
     parsed = parse_chat(lines)
     write_ingest(parsed, parsed_path)
-    parsed = spark.read.schema(parsed.schema).parquet(parsed_path)
+    parsed = read_back(parsed, parsed_path)
     write_table(ingest_counts(parsed), f"{out}/counts")
     write_table(rejected_with_line_numbers(lines, parsed), f"{out}/rejects")
 
     prompt_rows = prompts(with_identity(lines, kept(parsed), spec.datasets), chat_format, null_content)
     write_prompt_log(prompt_rows, "prompt_text", f"{out}/prompts")
-    prompt_rows = spark.read.schema(prompt_rows.schema).parquet(f"{out}/prompts")
+    prompt_rows = read_back(prompt_rows, f"{out}/prompts")
 
     tokens = tokenize(
         prompt_rows,
@@ -67,7 +67,7 @@ def run_train_data(
         add_labels=False,
     )
     write_table(tokens, f"{out}/tokens")
-    tokens = spark.read.schema(tokens.schema).parquet(f"{out}/tokens")
+    tokens = read_back(tokens, f"{out}/tokens")
 
     # Only the key and the length are read for the layout, not the ids.
     length = F.lit(max_length).alias("n") if spec.pad_to_max_length else F.col("n_tokens").alias("n")
@@ -90,4 +90,4 @@ def run_train_data(
     )
     write_table(batches, f"{out}/batches")
     write_config(spark, spec.kept_settings or vars(spec), f"{out}/config")
-    return spark.read.schema(batches.schema).parquet(f"{out}/batches")
+    return read_back(batches, f"{out}/batches")

@@ -37,8 +37,8 @@ def write_lines(df: DataFrame, text: Column, path: str, ordered: bool = False) -
 
 
 def write_prompt_log(df: DataFrame, prompt: str, path: str) -> None:
-    """Every full prompt text with its provenance, before tokenising."""
-    keys = [c for c in PROVENANCE if c in df.columns]
+    """Every full prompt text with all its other columns (provenance, identity), before tokenising."""
+    keys = [c for c in df.columns if c != prompt]
     df.select(*keys, F.col(prompt).alias("prompt_text")).write.mode("overwrite").parquet(path)
 
 
@@ -71,6 +71,19 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def read_back(df: DataFrame, path: str) -> DataFrame:
+    """What was just written from ``df``, with its schema; fails if the files lack a column of it.
+
+    A reader that is given a schema fills columns the files do not have with nulls, so the files'
+    own columns are looked at first (one footer).
+    """
+    spark = df.sparkSession
+    found = set(spark.read.parquet(path).columns)
+    if missing := [c for c in df.columns if c not in found]:
+        raise ValueError(f"{path} lacks the columns {missing}")
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def write_config(spark: SparkSession, config: Mapping[str, Any], path: str) -> None:
     """Keep the configuration of a run next to its output, as one JSON line."""
     row = spark.createDataFrame([(json.dumps(config, default=str),)], "value string")
