@@ -15,6 +15,7 @@ from .pivots import near_vectors
 from .registry import ORACLE, QUERIES, query, table
 from .simhash import near_duplicates
 from .token_files import read_tokens, write_tokens
+from .turn_repair import damaged, repair
 from .warc import audit, warc_records
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -121,3 +122,9 @@ def op4_merkle_fixity(spark: SparkSession, folder: str) -> DataFrame:
     replica = records.filter(F.coalesce(case != 3, F.lit(True))).select("file", "offset", broken.alias("record"))
     found = audit(records, replica)
     return found.join(records.select("file", "offset", "page_id"), ["file", "offset"]).select("page_id", "finding")
+
+
+@query()
+def op11_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults and cheapest role repair of every damaged conversation."""
+    return repair(damaged(table(spark, folder, "conversations")))
