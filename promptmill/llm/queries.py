@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..session import materialize, scratch_path
 from . import langid, quality
 from .collisions import nearest
+from .fertility import judge
 from .packing import pack_pieces, token_pieces
 from .pages import main_texts
 from .pieces import decode_ids, encode_texts
@@ -128,3 +129,9 @@ def op4_merkle_fixity(spark: SparkSession, folder: str) -> DataFrame:
 def op11_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
     """Faults and cheapest role repair of every damaged conversation."""
     return repair(damaged(table(spark, folder, "conversations")))
+
+
+@query()
+def op12_tokenizer_fertility(spark: SparkSession, folder: str) -> DataFrame:
+    """Base counts of all documents and which of them fertility bands keep."""
+    return judge(table(spark, folder, "documents"))
