@@ -23,6 +23,7 @@ each; an empty table gives no rows; other columns are ignored.  Very long texts
 from __future__ import annotations
 
 from array import array
+from base64 import b64decode
 from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
@@ -36,16 +37,18 @@ from ..functions.worker import once_per_worker
 from ..operators.skew import join_lookup
 from ..session import materialize
 from .pieces import model_bytes
-from .wordbpe import REMEMBERED, WordEncoder, text_slices, vocabulary
+from .wordbpe import REMEMBERED, text_slices
 
-PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
+PIECES, RANKS = "piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken"
+# How the second vocabulary cuts text before merging (fixed value).
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LEAST_WORDS, MOST_REPEATED = 50, 50
 LEAST_DOCS = 200
 REACH = 4.0
 #: Measures, width of a bin and least reach of a band.
 MEASURES = {
     "chars_per_piece": (0.01, 0.5),
-    "chars_per_word_token": (0.01, 0.5),
+    "chars_per_byte_token": (0.01, 0.5),
     "byte_share": (0.001, 0.02),
     "entropy_share": (0.001, 0.05),
 }
@@ -64,6 +67,8 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 def script(word: str) -> int:
     """Script of the first letter of a word, 0 without any."""
+    if word.isascii():
+        return int(any(map(str.isalpha, word)))
     for c in word:
         if c.isalpha():
             return _SCRIPTS[bisect_right(_STARTS, ord(c)) - 1][1]
@@ -73,27 +78,30 @@ def script(word: str) -> int:
 class Vocabularies:
     """Facts of words; remembers those it has met (a bounded memory that only saves time)."""
 
-    def __init__(self, pieces: bytes, words_json: str):
+    def __init__(self, pieces: bytes, ranks: bytes):
         import sentencepiece
+        import tiktoken
 
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=pieces)
         self.is_byte = np.array([self.pieces.is_byte(i) for i in range(self.pieces.vocab_size())])
-        self.words = WordEncoder(words_json)
+        merges = {b64decode(token): int(rank) for token, rank in map(bytes.split, ranks.splitlines())}
+        self.bytes = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=merges, special_tokens={})
         self.known: dict[str, tuple[bytes, int, int]] = {}
 
     def facts(self, words: list[str]) -> list[tuple[bytes, int, int]]:
         """For each word its piece ids, number of tokens of the other vocabulary, and script."""
         if len(self.known) + len(words) > REMEMBERED:
             self.known.clear()
-        new = [w for w in words if w not in self.known]
+        known, tokens = self.known, self.bytes.encode_ordinary
+        new = [w for w in words if w not in known]
         for word, ids in zip(new, self.pieces.encode(new, num_threads=1)):
-            self.known[word] = (array("I", ids).tobytes(), len(self.words._word(word)) // 4, script(word))
-        return [self.known[w] for w in words]
+            known[word] = (array("I", ids).tobytes(), len(tokens(" " + word)), script(word))
+        return list(map(known.__getitem__, words))
 
 
-def _state(pieces: bytes, words_json: str) -> Vocabularies:
-    key = ("fertility", hash(pieces), hash(words_json))
-    return once_per_worker(key, lambda: Vocabularies(pieces, words_json), alone=True)
+def _state(pieces: bytes, ranks: bytes) -> Vocabularies:
+    key = ("fertility", hash(pieces), hash(ranks))
+    return once_per_worker(key, lambda: Vocabularies(pieces, ranks), alone=True)
 
 
 def _repeats(doc: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -159,7 +167,7 @@ def _measures(texts: pa.Array, state: Vocabularies) -> dict[str, np.ndarray]:
     flat = np.frombuffer(b"".join(f[0] for f in facts), "<u4")
     starts = np.cumsum(sizes) - sizes
     out["n_pieces"] = total(sizes)
-    out["n_word_tokens"] = total(np.fromiter((f[1] for f in facts), np.int64, len(facts)))
+    out["n_byte_tokens"] = total(np.fromiter((f[1] for f in facts), np.int64, len(facts)))
     of_bytes = np.bincount(np.repeat(np.arange(len(facts)), sizes), state.is_byte[flat], len(facts))
     out["n_bytes"] = total(of_bytes)
     # Ids of all words in order, and how often each document has each of them.
@@ -180,14 +188,14 @@ def _measures(texts: pa.Array, state: Vocabularies) -> dict[str, np.ndarray]:
 
 _FIELDS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_pieces long, "
-    "n_word_tokens long, n_bytes long, entropy double, script int"
+    "n_byte_tokens long, n_bytes long, entropy double, script int"
 )
 
 
-def measure(docs: DataFrame, keep: Sequence[str] = ("doc_id",), pieces: str = PIECES, words: str = WORDS) -> DataFrame:
+def measure(docs: DataFrame, keep: Sequence[str] = ("doc_id",), pieces: str = PIECES, ranks: str = RANKS) -> DataFrame:
     """Base counts and token counts of every row of ``docs`` (text and the columns of ``keep``)."""
     context = docs.sparkSession.sparkContext
-    sent = context.broadcast((model_bytes(pieces), vocabulary(words)))
+    sent = context.broadcast((model_bytes(pieces), model_bytes(ranks)))
     names = [f.split()[0] for f in _FIELDS.split(", ")]
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +223,7 @@ def _bins() -> Column:
         return F.coalesce(F.try_divide(F.col(a), F.col(b)), F.lit(0.0))
 
     most = F.log2(F.greatest(F.col("n_pieces"), F.lit(2)))
-    values = [share("word_chars", "n_pieces"), share("word_chars", "n_word_tokens"), share("n_bytes", "n_pieces"), F.col("entropy") / most]
+    values = [share("word_chars", "n_pieces"), share("word_chars", "n_byte_tokens"), share("n_bytes", "n_pieces"), F.col("entropy") / most]
     return F.array(*[F.floor(v / width).cast("long") for v, (width, _) in zip(values, MEASURES.values())])
 
 
@@ -272,4 +280,4 @@ def judge(docs: DataFrame) -> DataFrame:
     )
     kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(True))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    return rows.select("doc_id", *base, kept.alias("kept"), "n_pieces", "n_word_tokens", "n_bytes", "entropy")
+    return rows.select("doc_id", *base, kept.alias("kept"), "n_pieces", "n_byte_tokens", "n_bytes", "entropy")
