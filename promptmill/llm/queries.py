@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..session import materialize, scratch_path
 from . import langid, quality
 from .collisions import nearest
+from .collocations import collocations
 from .fertility import judge
 from .packing import pack_pieces, token_pieces
 from .pages import main_texts
@@ -135,3 +136,46 @@ def op11_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
 def op12_tokenizer_fertility(spark: SparkSession, folder: str) -> DataFrame:
     """Base counts of all documents and which of them fertility bands keep."""
     return judge(table(spark, folder, "documents"))
+
+
+_PHRASES = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), worded AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+), runs AS (
+    SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM worded, (VALUES (1), (2), (3), (4)) AS v(m)
+), counted AS (
+    SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS a FROM runs GROUP BY ALL HAVING count(*) >= 30
+), totals AS (
+    SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang
+), cuts AS (
+    SELECT lang, phrase, a, m, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM counted WHERE m > 1
+), scored AS (
+    SELECT c.lang, c.phrase, c.a, c.m, c.k, l.a AS l, r.a AS r,
+        CAST(CAST(2000000 AS HUGEINT) * c.a // (CAST(l.a AS HUGEINT) + r.a) AS BIGINT) AS score
+    FROM cuts c JOIN counted l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.k], ' ')
+    JOIN counted r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.k + 1:], ' ')
+), worst AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_runs AS (
+    SELECT lang, a, m, string_split(phrase, ' ') AS w, unnest(range(2, m)) AS size FROM counted WHERE m > 2
+), covered AS (
+    SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, max(a) AS longer
+    FROM (SELECT *, unnest(range(1, m - size + 2)) AS i FROM inner_runs) GROUP BY ALL
+), ranked AS (
+    SELECT w.*, row_number() OVER (PARTITION BY w.lang ORDER BY w.score DESC, w.a DESC, w.phrase) AS rank
+    FROM worst w LEFT JOIN covered o ON o.lang = w.lang AND o.phrase = w.phrase
+    WHERE o.longer IS NULL OR CAST(100 AS HUGEINT) * o.longer < CAST(80 AS HUGEINT) * w.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@query(_PHRASES)
+def op13_rabin_karp_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The best collocated phrases of every language, counted over all documents."""
+    return collocations(table(spark, folder, "documents"))
