@@ -13,33 +13,37 @@ least ``threshold`` directions is verified by its exact product.  A vector withi
 the threshold with a chance of at least ``RECALL``, so a query ends when its ``k``-th verified vector
 lies within the radius (or all vectors are verified).  Shards' best are merged by rank.
 
-Queries meet shards in blocks: the work is queries times vectors, which is what the stated query set
-asks for, and no task holds more than a shard and a block.
+Vectors are dealt once, each to one shard; queries go to every shard.  A task gets the vectors of a
+shard, sorts their projections once, and then searches for its queries as they stream by: it holds a
+shard and one batch of queries.  The work is queries times vectors, which is what the stated query set
+asks for.
 
 Defined cases: vectors that are null, zero or hold null or non-finite components take no part, as
 queries or candidates; so does a row of null id; vectors of another length than the query's are no
-candidates; repeated rows of one id are one candidate each, and no candidate of a query of that id;
+candidates; repeated rows of one id are one candidate each, and no candidate of a query of that id; of
+several query rows of one id the smallest vector asks;
 an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 from math import comb, erf, sqrt
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .vectors import usable
+from ..operators.ordered import runs
+from .vectors import matrix, usable
 
 PROJECTIONS = 16
 WIDTH = 1.5
 RECALL = 0.92
 FIRST_RADIUS, GROWTH = 0.2, 1.2
 SHARD_VECTORS = 12_000
-BLOCK_QUERIES = 2_000
 SEED = 17
 
 
@@ -115,40 +119,56 @@ class Shard:
         return at[best], product[best]
 
 
-def nearest(rows: DataFrame, is_query: Column, k: int = 20, shard_vectors: int = SHARD_VECTORS, block_queries: int = BLOCK_QUERIES) -> DataFrame:
+def _search(batches: Iterator[pa.RecordBatch], largest: float, k: int) -> Iterator[pa.RecordBatch]:
+    """Best vectors of each query in each shard; a shard's vectors come before its queries."""
+    need = threshold()
+    ids: list[pa.Array] = []
+    vectors: list[np.ndarray] = []
+    shard: Shard | None = None
+    for is_new, run in runs(batches):
+        if is_new:
+            ids, vectors, shard = [], [], None
+        asked = run.column(1).to_numpy(zero_copy_only=False)
+        of_index = run.filter(pa.array(~asked))
+        if len(of_index):
+            ids.append(of_index.column(2).to_numpy())
+            vectors.append(matrix(of_index.column(3)))
+        queries = run.filter(pa.array(asked))
+        if not len(queries) or not ids:
+            continue
+        if shard is None:
+            shard = Shard(np.concatenate(ids), np.concatenate(vectors), largest)
+            ids, vectors = ids[:1], []
+        found = [[], [], []]
+        for query_id, query in zip(queries.column(2).to_pylist(), matrix(queries.column(3))):
+            at, score = shard.search(query_id, query, k, need)
+            for column, part in zip(found, (np.full(len(at), query_id), shard.ids[at], score)):
+                column.append(part)
+        columns = [pa.array(np.concatenate(column)) for column in found]
+        yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score"])
+
+
+def nearest(rows: DataFrame, is_query: Column, k: int = 20, shard_vectors: int = SHARD_VECTORS) -> DataFrame:
     """Rows query_id, rank, vec_id, score for the rows of ``rows`` (vec_id, embedding) that are queries."""
     good = rows.filter(usable("embedding") & F.col("vec_id").isNotNull()).withColumn("_query", F.coalesce(is_query, F.lit(False)))
-    good = good.select("vec_id", F.col("embedding").cast("array<double>").alias("vector"), "_query", F.size("embedding").alias("size"))
+    good = good.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("vector"), "_query")
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
-    facts = good.agg(F.count("*"), F.count_if("_query"), F.max(norm)).first()
+    facts = good.agg(F.count("*"), F.max(norm)).first()
     shards = max(1, -(-facts[0] // shard_vectors))
-    blocks = max(1, -(-facts[1] // block_queries))
-    largest = float(facts[2] or 1.0) * (1 + 1e-12)
-    need = threshold()
-    # A running hash of id and vector, so that repeated ids spread too.
-    index = good.select("size", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)).alias("shard"), "vec_id", "vector")
-    block = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)).alias("block")
+    largest = float(facts[1] or 1.0) * (1 + 1e-12)
+
+    # Rows are dealt by their place in the scan, so repeated rows spread too.  The key is text: of one
+    # type for vectors and queries, and vectors of different lengths never meet.
+    def key(shard: Column) -> Column:
+        return F.concat_ws(":", F.size("vector"), shard).alias("key")
+
+    place = F.pmod(F.monotonically_increasing_id(), F.lit(shards))
+    index = good.select(key(place), F.lit(False).alias("asked"), "id", "vector")
     every_shard = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
-    asked = good.filter("_query").select("size", F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), block)
-    asked = asked.select("*", every_shard)
-    every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    index = index.select("*", every_block)
-
-    def search(key: tuple, vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(vectors) and len(queries):
-            shard = Shard(vectors["vec_id"].to_numpy(), np.stack(vectors["vector"].to_list()), largest)
-            for query_id, query in zip(queries["query_id"], queries["query"]):
-                at, score = shard.search(query_id, query, k, need)
-                found.append(pd.DataFrame({"query_id": query_id, "vec_id": shard.ids[at], "score": score}))
-        if not found:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
-        return pd.concat(found, ignore_index=True)
-
-    keys = ["size", "shard", "block"]
-    found = (
-        index.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score double")
-    )
+    queries = good.filter("_query").groupBy("id").agg(F.min("vector").alias("vector"))
+    asked = queries.select("id", "vector", every_shard).select(key(F.col("shard")), F.lit(True).alias("asked"), "id", "vector")
+    dealt = index.unionByName(asked).repartition("key").sortWithinPartitions("key", "asked")
+    found = dealt.mapInArrow(lambda batches: _search(batches, largest, k), "query_id long, vec_id long, score double")
     # At most k rows of each query and shard.
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)

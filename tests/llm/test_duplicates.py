@@ -118,6 +118,27 @@ def test_vector_operators_of_nothing(vectors):
     assert collisions.nearest(vectors([]), F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.fixture
+def many_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "211")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_nearest_vectors_in_many_partitions(vectors, many_partitions):
+    test_nearest_vectors(vectors, 60)
+
+
+def test_nearest_of_repeated_rows(vectors, many_partitions):
+    rows = [(0, [1.0, 0.0], 0)] * 3 + [(20, [0.0, 2.0], 0), (20, [0.0, 1.0], 0)] + [(i, [1.0, float(i)], 0) for i in (1, 1, 2)]
+    found = collisions.nearest(vectors(rows), F.col("vec_id") % 20 == 0, k=4, shard_vectors=2).collect()
+    of = {q: [(r.rank, r.vec_id, r.score) for r in sorted(found, key=lambda r: r.rank) if r.query_id == q] for q in (0, 20)}
+    assert of[0] == [(1, 1, 1.0), (2, 1, 1.0), (3, 2, 1.0), (4, 20, 0.0)]
+    assert of[20] == [(1, 2, 2.0), (2, 1, 1.0), (3, 1, 1.0), (4, 0, 0.0)]
+
+
 @pytest.mark.parametrize("shard", [12_000, 60])
 def test_nearest_vectors(vectors, shard):
     random = np.random.default_rng(9)
@@ -126,7 +147,7 @@ def test_nearest_vectors(vectors, shard):
     rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
     odd = [(1000, None, 0), (1020, [0.0] * 24, 0), (1040, [float("inf")] * 24, 0), (None, x[0].tolist(), 0)]
     found = {}
-    table = collisions.nearest(vectors(rows + odd), F.col("vec_id") % 20 == 0, shard_vectors=shard, block_queries=7)
+    table = collisions.nearest(vectors(rows + odd), F.col("vec_id") % 20 == 0, shard_vectors=shard)
     for r in table.collect():
         found.setdefault(r.query_id, {})[r.rank] = r
     hits = 0
