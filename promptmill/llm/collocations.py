@@ -42,7 +42,7 @@ LEAST_COUNT = 30
 COVERED_PERCENT = 80
 SCORE_SCALE = 2_000_000
 MOST_ROWS = 2000
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 LEAST_BITS, MOST_BITS, BITS_EACH = 1 << 20, 1 << 28, 16
 _PART_BITS = 1 << 20
 
