@@ -110,7 +110,7 @@ class PieceEncoder:
         self.merges = _Merges(scores)
         self.automaton = ahocorasick.Automaton()
         for piece in self.merges.reachable:
-            self.automaton.add_word(piece, piece)
+            self.automaton.add_word(piece, (piece, len(piece) - 1))
         self.automaton.make_automaton()
         self.shorter = {}
         for piece in self.merges.reachable:
@@ -125,10 +125,9 @@ class PieceEncoder:
     def _backtrack(self, text: str) -> list[int]:
         """Ids of characters of the vocabulary."""
         longest: list[str | None] = [None] * len(text)
-        for end, piece in self.automaton.iter(text):
-            start = end + 1 - len(piece)
-            if longest[start] is None or len(piece) > len(longest[start]):
-                longest[start] = piece
+        # Matches come by their end, so the last one from a start is its longest.
+        for end, (piece, reach) in self.automaton.iter(text):
+            longest[end - reach] = piece
         open_at = (1 << len(text) + 1) - 1
         taken: list[str] = []
         at, piece = 0, longest[0]
@@ -214,18 +213,42 @@ def encode_texts(docs: DataFrame, model: str = "piece_bpe_32k.model") -> DataFra
     return docs.select("doc_id", "text").mapInArrow(batches, "doc_id long, ids array<int>")
 
 
+def _decoded(library, ids: pa.ListArray) -> pa.Array:
+    """The library's own decoding of every list; null lists are empty."""
+    texts: list[str] = []
+    for at in range(0, len(ids), 200):
+        part = ids.slice(at, 200)
+        # Null lists have no values here; slices of one plain list are far cheaper than Arrow's lists.
+        flat = part.flatten().to_numpy(zero_copy_only=False).tolist()
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False)).tolist()
+        texts += library.decode([flat[begin:end] for begin, end in zip([0, *ends], ends)])
+    return pa.array(texts, pa.string())
+
+
 def decode_ids(encoded: DataFrame, model: str = "piece_bpe_32k.model") -> DataFrame:
     """``encoded`` (doc_id, ids) with ``text``, by the library's own decoding.  Null ids are none."""
     sent = encoded.sparkSession.sparkContext.broadcast(model_bytes(model))
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            decode = encoder(sent.value).library.decode
-            for at in range(0, len(batch), 200):
-                part = batch.slice(at, 200)
-                texts = decode([ids or [] for ids in part.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(texts, pa.string())], names=["doc_id", "ids", "text"]
-                )
+            texts = _decoded(encoder(sent.value).library, batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], names=["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(batches, "doc_id long, ids array<int>, text string")
+
+
+def round_trip(docs: DataFrame, model: str = "piece_bpe_32k.model") -> DataFrame:
+    """``decode_ids(encode_texts(docs))`` in one pass over the texts."""
+    sent = docs.sparkSession.sparkContext.broadcast(model_bytes(model))
+
+    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            at = 0
+            for texts in text_slices(batch.column(1)):
+                pieces = encoder(sent.value)
+                ids = pieces.encode(texts)
+                own = batch.column(0).slice(at, len(texts)).cast(pa.int64())
+                yield pa.RecordBatch.from_arrays([own, ids, _decoded(pieces.library, ids)], names=["doc_id", "ids", "text"])
+                at += len(texts)
+
+    return docs.select("doc_id", "text").mapInArrow(batches, "doc_id long, ids array<int>, text string")

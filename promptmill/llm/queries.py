@@ -12,7 +12,7 @@ from .collocations import collocations
 from .fertility import judge
 from .packing import pack_pieces, token_pieces
 from .pages import main_texts
-from .pieces import decode_ids, encode_texts
+from .pieces import round_trip
 from .pivots import near_vectors
 from .registry import ORACLE, QUERIES, query, table
 from .simhash import near_duplicates
@@ -72,7 +72,7 @@ def op2_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op8_sentencepiece_backtracking(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of the ids of all documents and of the text that these ids decode to."""
-    decoded = decode_ids(encode_texts(table(spark, folder, "documents")))
+    decoded = round_trip(table(spark, folder, "documents"))
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
