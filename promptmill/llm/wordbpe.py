@@ -95,6 +95,9 @@ class WordEncoder:
         return array("I", [token.id for token in self.merge(part)]).tobytes()
 
     def _word(self, word: str) -> bytes:
+        # Most words are one part: a run of letters.
+        if word.isascii() and word.isalpha():
+            return self.parts[word.lower()]
         if _PLAIN.fullmatch(word) and "<|" not in word:
             return b"".join(map(self.parts.__getitem__, _PARTS.findall(word.lower())))
         return array("I", self.full(word)).tobytes()
