@@ -7,10 +7,14 @@ VARIANT; a struct type inferred from the data could not hold them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import VariantVal
 
+from .json_variant import variant_bytes
 from .text import is_blank
 
 # Text of booleans and of zero: the same text can be a string.
@@ -48,8 +52,23 @@ def strict_json(text: Column) -> Column:
     return let(_marked_parse(text, mark), lambda parsed: _only_value(parsed, mark))
 
 
+@cache
+def _second_parse() -> Callable[[Column], Column]:
+    """A second opinion on texts that the JVM's parser refuses."""
+
+    def parse(texts: pd.Series) -> pd.Series:
+        found = [None if t is None else variant_bytes(t) for t in texts]
+        return pd.Series([None if f is None else VariantVal(*f) for f in found], dtype=object)
+
+    return F.pandas_udf(parse, "variant")
+
+
 def with_strict_json(df: DataFrame, text: Column, name: str) -> DataFrame:
-    """Add :func:`strict_json` as a column, in steps that stay inside generated code.
+    """Add the value of a text that must be exactly one JSON value as a column; NULL if it is not.
+
+    Two tiers: the JVM parses every text, and only texts that it refuses go to Python, where neither
+    long strings and numbers nor deep nesting are refused (``json_variant``); for all other rows a
+    null is sent.  A value over 128 MiB, which no VARIANT can hold, is NULL too.
 
     Rows whose text is blank are left out.  The row filter is part of the generator at the end: a
     filter of its own would be moved down and have the text computed twice, and later filters on
@@ -57,9 +76,13 @@ def with_strict_json(df: DataFrame, text: Column, name: str) -> DataFrame:
     """
     steps = df.withColumn("_text", text).withColumn("_mark", F.xxhash64("_text"))
     steps = steps.withColumn("_parsed", _marked_parse(F.col("_text"), F.col("_mark")))
-    value = F.array(_only_value(F.col("_parsed"), F.col("_mark")))
+    steps = steps.select(*df.columns, "_text", _only_value(F.col("_parsed"), F.col("_mark")).alias("_value"))
+    blank = is_blank(F.col("_text"))
+    refused = F.when(F.col("_value").isNull() & ~blank, F.col("_text"))
+    steps = steps.withColumn("_late", _second_parse()(refused))
+    value = F.array(F.coalesce(F.col("_value"), F.col("_late")))
     nothing = F.array().cast("array<variant>")
-    kept = F.when(F.col("_parsed").isNull() & is_blank(F.col("_text")), nothing).otherwise(value)
+    kept = F.when(F.col("_value").isNull() & blank, nothing).otherwise(value)
     return steps.select(*df.columns, F.explode(kept).alias(name))
 
 

@@ -194,3 +194,22 @@ def dataset_counts(spark, folder):
     return docs.select(F.lit("documents").alias("kind"), "name", "n").unionByName(
         turns.select(F.lit("conversations").alias("kind"), "name", "n")
     )
+
+
+@query(
+    """SELECT doc_id, CASE WHEN doc_id % 4 = 3 THEN 'malformed' ELSE 'kept' END AS outcome,
+        CASE WHEN doc_id % 4 <> 3 THEN length(text) END AS n_chars FROM documents"""
+)
+def long_lines(spark, folder):
+    """Lines beyond the limits of the JVM's parser: long numbers, deep lists, and refused ones among them."""
+    case = F.col("doc_id") % 4
+    more = F.when(case == 0, F.repeat(F.lit("7"), 1500)).when(
+        case == 1, F.concat(F.repeat(F.lit("["), 1100), F.repeat(F.lit("]"), 1100))
+    )
+    more = more.when(case == 2, F.lit("0")).otherwise(F.concat(F.repeat(F.lit("["), 1100), F.repeat(F.lit("]"), 1099)))
+    chat = F.to_json(F.struct(F.array(message("user", F.col("text"))).alias("messages")))
+    value = F.concat(F.lit('{"more":'), more, F.lit(","), F.substring(chat, 2, F.length(chat)))
+    lines = table(spark, folder, "documents").select("doc_id", value.alias("value"))
+    rows = parse_chat(lines)
+    content = F.get("messages", F.lit(0))["content"]
+    return rows.select("doc_id", F.coalesce("reason", "status").alias("outcome"), F.length(content).cast("long").alias("n_chars"))
