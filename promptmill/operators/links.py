@@ -1,95 +1,68 @@
 """Table links of SQL statements: do they only read tables that exist?
 
-A necessary check, not a validity check: syntax, columns and types are not looked at.  Names are
-taken from the text with regular expressions, so a table listed after a subquery or after a join
-condition, behind a comma, is not seen.
+A necessary check, not a validity check: syntax, columns and types are not looked at.  Scopes are:
+see ``functions.sql_tables``.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.variants import let
-
-# Fixed patterns for SQL text.
-_QUOTED_OR_NOISE = r"""("(?:[^"]|"")*+")|'[^']*+(?:''[^']*+)*+'|--[^\n]*|/\*[\s\S]*?\*/"""
-_FROM_IN_CALL = r"(?i)\b(extract|substring|trim|overlay)\s*\(([^()]*?)\bfrom\b"
-_DISTINCT_FROM = r"(?i)\bis\s+(?:not\s+)?distinct\s+from\b"
-_NAME = r'(?:"(?:[^"]|"")*+"|[A-Za-z_\x{80}-\x{10FFFF}][\w$\x{80}-\x{10FFFF}]*+)'
-_TABLE = rf"{_NAME}(?:\s*\.\s*{_NAME})*+(?!\s*[(])"
-_ALIAS = rf"(?:\s+(?:as\s+)?{_NAME})?"
-_TABLE_LIST = (
-    rf"(?i)\b(?:from|join)\s+(?:only\s+)?({_TABLE}(?:{_ALIAS}\s*,\s*(?:only\s+)?{_TABLE})*)"
-)
-_FIRST_NAME = rf"^\s*(?:only\s+)?({_NAME}(?:\s*\.\s*{_NAME})*+)"
-_CTE = rf"(?i)(?:\bwith\b(?:\s+recursive\b)?|,)\s*({_NAME})\s*(?:\([^()]*\)\s*)?as\s+(?:(?:not\s+)?materialized\s+)?\("
-_READ_ONLY = r"(?i)^[\s(]*(?:select|with)\b"
-
+from ..functions.sql_tables import read_tables
+from .skew import join_lookup
 
-def _if_any(text: Column, words: tuple[str, ...], then: Column, otherwise: Column) -> Column:
-    """Run a pattern only on texts that hold one of the words it needs."""
-    found = reduce(or_, [F.contains(text, F.lit(w)) for w in words])
-    return F.when(found, then).otherwise(otherwise)
+#: Table names that are sent to every task; a larger catalog is joined.
+MAX_SENT_NAMES = 100_000
 
 
-def _plain(sql: Column) -> Column:
-    """The statement without comments, string literals and FROMs that name no table."""
+def _scanned(sql: Column) -> Column:
+    """A struct: whether the statement only reads, and its tables."""
 
-    def without_other_froms(text: Column) -> Column:
-        def of_lower(lower: Column) -> Column:
-            calls = F.regexp_replace(text, _FROM_IN_CALL, "$1($2, ")
-            called = _if_any(lower, ("extract", "substring", "trim", "overlay"), calls, text)
-            return _if_any(lower, ("distinct",), F.regexp_replace(called, _DISTINCT_FROM, "= "), called)
+    def scan(statements: pd.Series) -> pd.DataFrame:
+        found = [read_tables(s or "") for s in statements]
+        return pd.DataFrame({"reads": [r for r, _ in found], "tables": [t for _, t in found]})
 
-        return let(F.lower(text), of_lower)
+    return F.pandas_udf(scan, "reads boolean, tables array<string>")(sql)
 
-    clean = _if_any(sql, ("'", '"', "--", "/*"), F.regexp_replace(sql, _QUOTED_OR_NOISE, "$1 "), sql)
-    return let(clean, without_other_froms)
 
-
-def _last_name(name: Column) -> Column:
-    """The last part of a qualified name; unquoted names fold to lower case."""
-    part = F.regexp_extract(name, rf"({_NAME})\s*$", 1)
-    return F.when(F.startswith(part, F.lit('"')), F.regexp_replace(F.btrim(part, F.lit('"')), '""', '"')).otherwise(
-        F.lower(part)
-    )
+def table_names(sql: Column) -> Column:
+    """Distinct names of the tables a statement reads, names of common table expressions left out."""
+    return _scanned(sql)["tables"]
 
 
-def table_names(sql: Column) -> Column:
-    """Distinct names of the tables a statement reads, CTE names left out."""
+def _catalog_name(name: Column) -> Column:
+    """The last part of a catalog's name; unquoted names fold to lower case."""
 
-    def of_plain(text: Column) -> Column:
-        lists = F.regexp_extract_all(text, F.lit(_TABLE_LIST), F.lit(1))
-        items = F.flatten(F.transform(lists, lambda t: F.split(t, ",")))
-        named = F.transform(items, lambda t: _last_name(F.regexp_extract(t, _FIRST_NAME, 1)))
-        ctes = F.transform(F.regexp_extract_all(text, F.lit(_CTE), F.lit(1)), _last_name)
-        return _if_any(F.lower(text), ("with",), F.array_except(named, ctes), F.array_distinct(named))
+    def last(names: pd.Series) -> pd.Series:
+        read = (read_tables(f"select 1 from {n}")[1] if n else [] for n in names)
+        return pd.Series([t[0] if t else None for t in read])
 
-    return let(_plain(sql), of_plain)
+    return F.pandas_udf(last, "string")(name)
 
 
-def check_links(statements: DataFrame, catalog: DataFrame, sql: str = "sql") -> DataFrame:
+def check_links(statements: DataFrame, catalog: DataFrame, sql: str = "sql", max_sent: int = MAX_SENT_NAMES) -> DataFrame:
     """``(sql, links_ok)`` for every distinct statement, given a catalog with ``table_name``.
 
     A statement passes when it is a SELECT or WITH and no table it reads is missing.  Statements
-    are reduced to distinct ones first.  The catalog is broadcast when Spark finds it small enough,
-    else this is a shuffle join whose hot table names AQE splits.
+    are reduced to distinct ones first.  A catalog of up to ``max_sent`` names goes to the tasks, so
+    a statement is read and judged in one place and nothing is shuffled by table.  A larger one is
+    joined to the names, hot ones salted.
     """
     distinct = statements.select(F.coalesce(sql, F.lit("")).alias("sql")).distinct()
-    refs = distinct.select(
-        "sql",
-        F.rlike(F.col("sql"), F.lit(_READ_ONLY)).alias("reads"),
-        F.explode_outer(table_names(F.col("sql"))).alias("table_name"),
-    )
-    known = catalog.select(_last_name(F.col("table_name")).alias("table_name")).distinct().withColumn(
-        "known", F.lit(True)
-    )
-    return refs.join(known, "table_name", "left").groupBy("sql").agg(
-        F.bool_and(F.col("reads") & (F.col("table_name").isNull() | F.coalesce("known", F.lit(False)))).alias(
-            "links_ok"
-        )
-    )
+    known = catalog.select(_catalog_name(F.col("table_name")).alias("table_name")).na.drop().distinct()
+    names = [r[0] for r in known.limit(max_sent + 1).collect()]
+    if len(names) <= max_sent:
+        sent = statements.sparkSession.sparkContext.broadcast(frozenset(names))
+
+        def judge(batch: pd.Series) -> pd.Series:
+            found = (read_tables(s) for s in batch)
+            return pd.Series([reads and sent.value.issuperset(tables) for reads, tables in found])
+
+        return distinct.select("sql", F.pandas_udf(judge, "boolean")("sql").alias("links_ok"))
+    scanned = distinct.select("sql", _scanned(F.col("sql")).alias("s"))
+    refs = scanned.select("sql", "s.reads", F.explode_outer("s.tables").alias("table_name"))
+    refs = join_lookup(refs, known.withColumn("known", F.lit(True)), "table_name")
+    exists = F.col("table_name").isNull() | F.coalesce("known", F.lit(False))
+    return refs.groupBy("sql").agg(F.bool_and(F.col("reads") & exists).alias("links_ok"))

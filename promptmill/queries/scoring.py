@@ -156,6 +156,32 @@ def link_check(spark, folder):
     return check_links(statements, catalog)
 
 
+# Statements whose scopes decide, and whether all tables they read exist.
+_SCOPED = [
+    ("SELECT * FROM (SELECT 1) x, missing WHERE k = %", False),
+    ("SELECT * FROM orders o JOIN nation n ON o.a = n.a AND f(o.b, %) = n.b, missing", False),
+    ("WITH t AS (SELECT %) SELECT * FROM public.t", False),
+    ("WITH a AS (SELECT * FROM b), b AS (SELECT % FROM orders) SELECT * FROM a, b", False),
+    ("SELECT * FROM (WITH t AS (SELECT %) SELECT * FROM t) x JOIN t ON true", False),
+    ("SELECT extract(year FROM max((SELECT max(d) FROM orders))), % FROM nation", True),
+    ("SELECT substring(lower(s) FROM 2 FOR 3), % FROM generate_series(1, 9) g, LATERAL h(g) i, customer", True),
+    ("WITH RECURSIVE r AS (SELECT 1 UNION ALL SELECT n + 1 FROM r WHERE n < %) SELECT * FROM r", True),
+    ("SELECT $$FROM nowhere$$, a IS NOT DISTINCT FROM b FROM (orders o CROSS JOIN (VALUES (%)) v(x)), nation", True),
+    ("(SELECT % FROM orders) UNION ALL (SELECT 1 FROM customer GROUP BY a, b ORDER BY c, d)", True),
+]
+_SCOPED_SQL = "CASE o_orderkey % 10 " + " ".join(
+    "WHEN {} THEN '{}' || o_orderkey || '{}'".format(i, *s.split("%")) for i, (s, _) in enumerate(_SCOPED)
+) + " END"
+
+
+@query(f"SELECT {_SCOPED_SQL} AS sql, o_orderkey % 10 >= {[ok for _, ok in _SCOPED].index(True)} AS links_ok FROM orders")
+def link_scopes(spark, folder):
+    """Statements of every order in which subqueries, calls and common table expressions decide."""
+    statements = table(spark, folder, "orders").select(F.expr(_SCOPED_SQL).alias("sql"))
+    catalog = spark.createDataFrame([("orders",), ("nation",), ("customer",)], "table_name string")
+    return check_links(statements, catalog)
+
+
 def stub_factory(model: ModelSpec):
     """A deterministic predictor: model identity, then facts about the prompt."""
     label = "+".join([model.base_model_path, *model.adapters])

@@ -129,6 +129,7 @@ def test_check_links(spark):
     )
     catalog = spark.createDataFrame([("orders",), ("nation",), ("orders",)], "table_name string")
     got = dict(check_links(statements, catalog).collect())
+    assert got == dict(check_links(statements, catalog, max_sent=1).collect())
     assert got == {
         "select 1 from orders": True,
         "SELECT x FROM nope": False,
