@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.chat import ChatFormat, prompt_text
-from ..operators.batches import batch_layout, with_layout
+from ..operators.batches import SHARD_TOKENS, sharded_batches
 from ..operators.tokens import collate, tokenize
 from ..session import configure
 from ..sinks.writers import read_back, write_config, write_ingest, write_prompt_log, write_table
@@ -31,13 +31,14 @@ def run_train_data(
     max_length: int | None = None,
     chat_format: ChatFormat | None = None,
     null_content: str = "fail",
-    batches_per_shard: int = 65_536,
+    shard_tokens: int = SHARD_TOKENS,
 ) -> DataFrame:
     """Build the training data below ``spec.output_dir`` and return the batches.
 
     ``to_ids`` is a function from a text column to a column of token ids.  Written are
     ``ingest`` (kept and rejected lines), ``counts``, ``rejects`` (with line numbers), ``prompts``,
     ``tokens``, ``batches`` and ``config``.  Each table is computed once, from the one before it.
+    Batches lie in shards of about ``shard_tokens`` tokens, whole steps each, about a file a shard.
     The seeded order depends on source, path below the source and line number only, not on how the
     files are split or where they lie.
     """
@@ -69,25 +70,19 @@ def run_train_data(
     write_table(tokens, f"{out}/tokens")
     tokens = read_back(tokens, f"{out}/tokens")
 
-    # Only the key and the length are read for the layout, not the ids.
-    length = F.lit(max_length).alias("n") if spec.pad_to_max_length else F.col("n_tokens").alias("n")
-    layout = batch_layout(
-        tokens.select(*IDENTITY, length),
+    length = F.lit(max_length) if spec.pad_to_max_length else F.col("n_tokens")
+    batches = sharded_batches(
+        tokens,
         IDENTITY,
-        "n",
+        length,
         spec.batch_size,
         spec.gradient_accumulation_steps,
         spec.num_epochs,
         spec.seed,
+        spec.devices,
+        shard_tokens,
     )
-    batches = collate(with_layout(tokens, layout, IDENTITY), pad_id)
-    # A batch never crosses a shard, and a shard is in order.  Shards follow from the dense batch
-    # number, so they are even and need no sampling pass, as a range partitioning would.
-    batches = (
-        batches.withColumn("shard", F.floor(F.col("batch_id") / batches_per_shard))
-        .repartition("epoch", "shard")
-        .sortWithinPartitions("epoch", "shard", "row_index")
-    )
+    batches = collate(batches, pad_id)
     write_table(batches, f"{out}/batches")
     write_config(spark, spec.kept_settings or vars(spec), f"{out}/config")
     return read_back(batches, f"{out}/batches")

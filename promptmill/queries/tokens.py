@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.batches import batch_layout, with_layout
+from ..operators.batches import batch_layout, sharded_batches, with_layout
 from ..operators.tokens import collate, encoder_ids, hashed_ids, tokenize, word_tokens
 from ..plans.train_data import run_train_data
 from ..session import materialize, scratch_path
@@ -129,3 +129,31 @@ def training_job(spark, folder):
         (F.max("step_id") + 1).alias("n_steps"),
         F.sum(F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x)).alias("n_tokens"),
     )
+
+
+DEVICES, SHARD = 2, 512
+_STEP = BATCH * ACCUMULATE * DEVICES
+
+
+@query(
+    f"""{_LAYOUT} SELECT epoch, batch_id, batch_id % {DEVICES} AS device, row_index // {_STEP} AS step_id, count(*) AS n_rows,
+        CAST(sum(batch_length) AS BIGINT) AS n_ids, CAST(sum(n_tokens) AS BIGINT) AS mask_sum,
+        CAST(sum(batch_length - n_tokens) AS BIGINT) AS n_ignored,
+        1 AS n_shards FROM laid GROUP BY ALL"""
+)
+def sharded_training_batches(spark, folder):
+    """Batches in shards of bounded tokens on two devices: sums of ids, masks and labels of each."""
+    turns = table(spark, folder, "conversations")
+    key = ["conv_id", "turn"]
+    ids = hashed_ids(F.col("text"), VOCABULARY, RESERVED)
+    tokens = materialize(tokenize(turns, ids, key, add_labels=False), "tokens")
+    rows = sharded_batches(tokens, key, F.col("n_tokens"), BATCH, ACCUMULATE, EPOCHS, SEED, DEVICES, SHARD)
+    rows = collate(rows, PAD)
+    return rows.groupBy("epoch", "batch_id", F.col("device").cast("long").alias("device"), "step_id").agg(
+        F.count("*").alias("n_rows"),
+        F.sum(F.size("input_ids")).alias("n_ids"),
+        F.sum(F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x)).alias("mask_sum"),
+        F.sum(F.size(F.filter("labels", lambda x: x == -100))).alias("n_ignored"),
+        # A batch never crosses a shard.
+        F.count_distinct("shard").cast("int").alias("n_shards"),
+    )

@@ -77,13 +77,13 @@ def test_train_data_job(spark, tmp_path):
         },
     }
     batches = run_train_data(
-        spark, TrainingSpec.of(given), lambda t: hashed_ids(t, 1000, 10), pad_id=0, max_length=3, batches_per_shard=2
+        spark, TrainingSpec.of(given), lambda t: hashed_ids(t, 1000, 10), pad_id=0, max_length=3, shard_tokens=16
     )
     rows = batches.collect()
     assert len(rows) == 48
     assert sorted(r.row_index for r in rows if r.epoch == 0) == list(range(24))
     for r in rows:
-        assert r.batch_id == r.row_index // 4 and r.step_id == r.batch_id // 2 and r.shard == r.batch_id // 2
+        assert r.batch_id == r.row_index // 4 and r.step_id == r.batch_id // 2 and r.device == 0
         assert len(r.input_ids) == len(r.labels) == len(r.attention_mask) == r.batch_length <= 3
         assert sum(r.attention_mask) == r.n_tokens == sum(x != -100 for x in r.labels)
         same = [s.n_tokens for s in rows if (s.epoch, s.batch_id) == (r.epoch, r.batch_id)]
