@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.chat import ChatFormat, prompt_text
+from ..operators.conversations import assemble_conversations
 from ..session import scratch_path
 from ..sinks.writers import write_ingest
 from ..sources.chat import (
@@ -213,3 +214,26 @@ def long_lines(spark, folder):
     rows = parse_chat(lines)
     content = F.get("messages", F.lit(0))["content"]
     return rows.select("doc_id", F.coalesce("reason", "status").alias("outcome"), F.length(content).cast("long").alias("n_chars"))
+
+
+MOST_TURNS = 3
+
+
+@query(
+    f"""SELECT conv_id, part, CAST(count(*) AS INTEGER) AS n_messages, string_agg(role, ',' ORDER BY place) AS roles,
+        md5(string_agg('<|' || role || '|>' || text, '' ORDER BY place)) AS content_md5
+        FROM (SELECT *, (place - 1) // {MOST_TURNS} AS part FROM (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS place FROM conversations))
+        GROUP BY conv_id, part"""
+)
+def assemble_conversation(spark, folder):
+    """Turns spread over rows, gathered into conversations of parts of bounded length."""
+    rows = assemble_conversations(table(spark, folder, "conversations"), most_turns=MOST_TURNS)
+    said = F.transform("messages", lambda m: F.concat(F.lit("<|"), m["role"], F.lit("|>"), m["content"]))
+    return rows.select(
+        "conv_id",
+        "part",
+        F.size("messages").alias("n_messages"),
+        F.array_join(F.col("messages")["role"], ",").alias("roles"),
+        F.md5(F.array_join(said, "").cast("binary")).alias("content_md5"),
+    )

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators.templates import Template
 from ..session import scratch_path
+from ..sources.chat import chat_lines, parse_chat, rejected_with_line_numbers
 from ..sources.config import InferenceSpec
-from ..streaming.streams import answer_requests, answer_stream, chat_file_stream, ingest_stream
+from ..streaming.streams import answer_requests, answer_stream, chat_file_stream, ingest_stream, numbered_ingest_stream
 from .chat import mixed_lines
 from .registry import query, table
 from .render import INFERENCE_TEMPLATE, SYSTEM
@@ -57,3 +58,19 @@ def chat_stream(spark, folder):
         .groupBy("status", F.coalesce("reason", F.lit("")).alias("reason"))
         .agg(F.count("*").alias("n"), F.sum(F.coalesce(chars, F.lit(0))).alias("n_chars"))
     )
+
+
+@query(
+    """SELECT CASE WHEN turn = 4 THEN 'non_object' ELSE 'malformed' END AS reason, count(*) AS n, count(*) AS n_numbered
+        FROM conversations WHERE turn IN (3, 4, 7) GROUP BY ALL"""
+)
+def stream_line_numbers(spark, folder):
+    """Refused lines of arriving files, and how many of them a batch job gives with the same file and number."""
+    source, out = scratch_path(spark, "arriving"), scratch_path(spark, "numbered")
+    mixed_lines(spark, folder).select(F.regexp_replace("value", "\n", " ")).write.text(source)
+    stream = numbered_ingest_stream(chat_file_stream(spark, source), out, scratch_path(spark, "numbered-log"))
+    stream.trigger(availableNow=True).start().awaitTermination()
+    lines = chat_lines(spark, [source])
+    batch = rejected_with_line_numbers(lines, parse_chat(lines)).withColumn("numbered", F.lit(1))
+    found = spark.read.parquet(f"{out}/rejects").join(batch, ["src_file", "line_no", "reason", "line"], "left")
+    return found.groupBy("reason").agg(F.count("*").alias("n"), F.count("numbered").alias("n_numbered"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.batches import batch_layout, sharded_batches, with_layout
+from ..operators.rows import map_rows
 from ..operators.tokens import collate, encoder_ids, hashed_ids, tokenize, word_tokens
 from ..plans.train_data import run_train_data
 from ..session import materialize, scratch_path
@@ -157,3 +158,23 @@ def sharded_training_batches(spark, folder):
         # A batch never crosses a shard.
         F.count_distinct("shard").cast("int").alias("n_shards"),
     )
+
+
+def _sentences():
+    """A stand-in for a user's function: a row for each line of a text, with its number and length."""
+
+    def cut(rows):
+        found = [(i, k, len(line)) for i, text in zip(rows["doc_id"], rows["text"]) for k, line in enumerate(text.split("\n"))]
+        return dict(zip(("doc_id", "line_no", "n_chars"), map(list, zip(*found)))) if found else {}
+
+    return cut
+
+
+@query(
+    """SELECT doc_id, i - 1 AS line_no, length(lines[i]) AS n_chars
+        FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i
+            FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents))"""
+)
+def rows_by_function(spark, folder):
+    """A user's function that makes several rows of one."""
+    return map_rows(table(spark, folder, "documents"), _sentences, "doc_id long, line_no long, n_chars long", ["doc_id", "text"])

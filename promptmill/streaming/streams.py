@@ -11,7 +11,8 @@ from ..functions.text import cut_at_stop, halt_at_stop
 from ..operators.context import column_context
 from ..operators.predict import PredictorFactory, generate
 from ..operators.templates import Template
-from ..sources.chat import parse_chat
+from ..sinks.writers import write_ingest, write_table
+from ..sources.chat import parse_chat, rejected_with_line_numbers
 from ..sources.config import InferenceSpec
 
 
@@ -70,6 +71,27 @@ def ingest_stream(lines: DataFrame, path: str, checkpoint: str) -> DataStreamWri
     )
 
 
+def numbered_ingest_stream(lines: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Like :func:`ingest_stream`, and the refused lines with their line numbers.
+
+    A file arrives whole in one micro-batch, so its lines are numbered there, from the counts of its
+    input splits, as in a batch job.  Each micro-batch replaces its own folders ``lines/batch=N`` and
+    ``rejects/batch=N``: one that runs again after a restart leaves the same rows, once.
+    """
+    root = path.rstrip("/")
+
+    def sort_out(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        numbered = batch.withColumn("seq", F.monotonically_increasing_id())
+        parsed = parse_chat(numbered)
+        target = f"{root}/lines/batch={number}"
+        write_ingest(parsed, target)
+        again = spark.read.schema(parsed.schema).parquet(target)
+        write_table(rejected_with_line_numbers(numbered, again), f"{root}/rejects/batch={number}")
+
+    return lines.writeStream.foreachBatch(sort_out).option("checkpointLocation", checkpoint)
+
+
 def answer_stream(answers: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Write answered requests as they come."""
     return (
