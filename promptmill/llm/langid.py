@@ -37,13 +37,16 @@ from ..functions.worker import once_per_worker
 DIMENSIONS = 1024
 SEED = 20_240_607
 DOCS_PER_LANGUAGE = 5_000
-LANGUAGES = 512
+#: More than there are codes of languages; a bound on what the driver and the workers hold.
+LANGUAGES = 8192
 #: Sequences whose vectors a worker remembers, and documents bundled at once.
 REMEMBERED = 16_384
 _GROUP = 64
 _STEP = 4_096
 _UNDEFINED = "und"
-_GAP = re.compile(r"[\W\d_]+")
+# Whatever is not a letter: also signs that count as word characters, like superscripts and fractions.
+_NUMERALS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_GAP = re.compile(rf"[\W\d_{_NUMERALS}]+")
 _SCALE = 10_000
 #: A document is like a language from this share of the lowest tenth's cosine; rows a class needs.
 SHARE = 0.5

@@ -16,7 +16,8 @@ the fit); features that fewer than ``LEAST_DOCS`` of them have are left out.
 Defined cases: a null text has no words and is scored by the thresholds alone, like an empty one;
 ratings with a null are ignored, and of several ratings of a document the lowest counts; without
 any rating, or with ratings of one grade only, every document gets that grade (2 without any) with
-certainty; repeated rows are scored each; an empty table gives no rows; other columns are ignored.
+certainty; repeated rows are scored each, and of rows that repeat a rated id the one whose text has the
+smallest hash is learned from; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -214,7 +215,9 @@ def train(docs: DataFrame, ratings: DataFrame, rows: int = RATED_ROWS) -> Ordina
                 )
                 at += len(texts)
 
-    rated = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("_grade", "text")
+    rated = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # One row of each rated id, found by partial aggregation, so that the bound holds if ids repeat.
+    rated = rated.groupBy("doc_id", "_grade").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("_grade", "text")
     found = rated.mapInArrow(features, "grade int, buckets array<int>, shares array<double>").toArrow().combine_chunks()
     # One order, whatever the order in which tasks end.
     buckets = [b.astype(np.int64) for b in (row.values.to_numpy() for row in found["buckets"])]
