@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.context import read_fields, training_context
-from ..operators.templates import Template, load_template
+from ..operators.templates import Template, is_valid_render, load_template
 from ..session import configure
-from ..sinks.writers import write_lines
+from ..sinks.counters import observed, write_counts
+from ..sinks.writers import write_lines, write_sorted_out
 from ..sources.config import DatasetSpec, RenderSpec
 from ..sources.records import PROVENANCE, read_records
 
@@ -39,14 +40,38 @@ def render_corpus(
 
 
 def run_render(
-    spark: SparkSession, spec: RenderSpec, mode: str = "safe", ordered: bool = False, layout: str = "auto"
-) -> None:
-    """Render every dataset of the job to its output folder.
+    spark: SparkSession,
+    spec: RenderSpec,
+    mode: str = "safe",
+    ordered: bool = False,
+    layout: str = "auto",
+    on_error: str = "keep",
+) -> list[dict[str, int]]:
+    """Render every dataset of the job to its output folder; returns its counts.
 
-    One narrow pass per dataset.  Only ``ordered`` output needs a shuffle.
+    One narrow pass per dataset, in which the rows and the texts that are no valid JSON are counted;
+    the counts are kept in ``<output>.counts``.  Only ``ordered`` output needs a shuffle.  Raw values can
+    break the JSON: ``on_error="quarantine"`` writes such texts apart, as ``status=bad`` beside
+    ``status=good``; ``fail`` ends the job; ``keep`` writes them with the others.
     """
+    if on_error not in ("keep", "fail", "quarantine"):
+        raise ValueError(f"on_error must be 'keep', 'fail' or 'quarantine', not {on_error!r}")
     configure(spark)
     default = load_template(spark, spec.default_template)
+    counts = []
     for dataset in spec.datasets:
         rendered = render_corpus(spark, dataset, default, mode, layout)
-        write_lines(rendered, F.col("rendered"), dataset.output, ordered)
+        # Safe rendering escapes every value; only raw text needs to be read again.
+        valid = is_valid_render(F.col("rendered")) if mode == "raw" else F.lit(True)
+        rendered = rendered.withColumn("valid", valid)
+        if on_error == "fail":
+            broken = F.raise_error(F.concat(F.lit("no JSON after rendering: "), F.col("rendered"))).cast("string")
+            rendered = rendered.withColumn("rendered", F.when(F.col("valid"), F.col("rendered")).otherwise(broken))
+        rendered, seen = observed(rendered, rendered=F.lit(True), invalid=~F.col("valid"))
+        if on_error == "quarantine":
+            write_sorted_out(rendered, F.col("rendered"), F.col("valid"), dataset.output)
+        else:
+            write_lines(rendered, F.col("rendered"), dataset.output, ordered)
+        counts.append(seen())
+        write_counts(spark, counts[-1], f"{dataset.output.rstrip('/')}.counts")
+    return counts

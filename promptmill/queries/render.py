@@ -20,9 +20,10 @@ from ..operators.context import (
     training_context,
 )
 from ..operators.templates import Template, is_valid_render, messages_from_text
-from ..plans.render import render_records
+from ..plans.render import render_records, run_render
 from ..session import scratch_path
-from ..sinks.writers import write_lines
+from ..sinks.writers import write_config, write_lines
+from ..sources.config import DatasetSpec, RenderSpec
 from ..sources.records import lines_with_provenance, parse_records, read_records
 from .registry import query, table
 
@@ -279,3 +280,24 @@ def render_job(spark, folder):
         content[0].alias("user_text"),
         content[1].alias("assistant_text"),
     )
+
+
+@query(
+    """SELECT what, n FROM (
+        SELECT 'rendered' AS what, count(*) AS n FROM documents
+        UNION ALL SELECT 'invalid', count(*) FILTER (doc_id % 3 = 0 OR contains(source, chr(34))) FROM documents
+        UNION ALL SELECT 'good lines', count(*) FILTER (NOT (doc_id % 3 = 0 OR contains(source, chr(34)))) FROM documents
+        UNION ALL SELECT 'bad lines', count(*) FILTER (doc_id % 3 = 0 OR contains(source, chr(34))) FROM documents)"""
+)
+def render_sorted_out(spark, folder):
+    """The render job on raw values that break the JSON of some texts: its counts, and the lines it wrote apart."""
+    docs = table(spark, folder, "documents")
+    question = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit('a "'), F.col("source"))).otherwise(F.col("source"))
+    source, out, template = (scratch_path(spark, n) for n in ("records", "rendered", "template"))
+    lines = F.to_json(F.struct(question.alias("question"), F.col("doc_id").cast("string").alias("sql"), F.col("lang").alias("schema")))
+    docs.select(lines).write.text(source)
+    write_config(spark, SQL_TEMPLATE, template)
+    run_render(spark, RenderSpec(template, (DatasetSpec(source, out),)), mode="raw", layout="lines", on_error="quarantine")
+    written = spark.read.schema("value string, status string").text(out).groupBy("status").agg(F.count("*").alias("n"))
+    written = written.select(F.concat("status", F.lit(" lines")).alias("what"), "n")
+    return spark.read.schema("what string, n long").json(f"{out}.counts").unionByName(written)

@@ -36,6 +36,13 @@ def write_lines(df: DataFrame, text: Column, path: str, ordered: bool = False) -
     df.select(py_rstrip(text).alias("value")).write.mode("overwrite").text(path)
 
 
+def write_sorted_out(df: DataFrame, text: Column, valid: Column, path: str) -> None:
+    """Texts that are valid and those that are not, in one pass, as folders ``status=good`` and
+    ``status=bad`` of text lines, replacing what is there."""
+    status = F.when(valid, F.lit("good")).otherwise(F.lit("bad")).alias("status")
+    df.select(py_rstrip(text).alias("value"), status).write.mode("overwrite").partitionBy("status").text(path)
+
+
 def write_prompt_log(df: DataFrame, prompt: str, path: str) -> None:
     """Every full prompt text with all its other columns (provenance, identity), before tokenising."""
     keys = [c for c in df.columns if c != prompt]

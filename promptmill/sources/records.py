@@ -100,6 +100,23 @@ def with_identity(lines: DataFrame, rows: DataFrame, roots: Sequence[str]) -> Da
     return line_numbers(lines, rows).withColumn("src_path", relative_path(roots))
 
 
+def with_record_identity(rows: DataFrame, roots: Sequence[str]) -> DataFrame:
+    """``rows`` (one per record, with provenance) with ``src_path`` and ``record_no`` added.
+
+    The number counts the records of a file from 1, blank lines and layout aside, so it does not
+    depend on how files are split or where they lie.  Rows are numbered by input split, and the counts
+    of the splits are summed up along each file.  Hand in a written table: it is read twice.
+    """
+    split = ["src_idx", "src_file", "block_start"]
+    in_split = f"row_number() over (partition by {', '.join(split)} order by seq)"
+    along = "sum(n) over (partition by src_idx, src_file order by block_start rows between unbounded preceding and 1 preceding)"
+    counts = rows.groupBy(*split).agg(F.count("*").alias("n"))
+    starts = counts.select(*split, F.coalesce(F.expr(along), F.lit(0)).alias("_before"))
+    numbered = rows.withColumn("_place", F.expr(in_split)).join(starts, split)
+    columns = [*rows.columns, relative_path(roots).alias("src_path"), (F.col("_before") + F.col("_place")).alias("record_no")]
+    return numbered.select(*columns)
+
+
 def parse_records(lines: DataFrame) -> DataFrame:
     """Strict parse of lines: blank lines are skipped, a malformed one ends the job."""
     problem = F.concat(

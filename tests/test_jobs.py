@@ -253,3 +253,48 @@ def test_materialize_uses_the_shared_folder(spark):
 
 def test_model_spec():
     assert ModelSpec.of({"base_model_path": "p", "adapters": None}).display_name == "p"
+
+
+def _counts(path):
+    return {p["what"]: p["n"] for part in path.glob("**/part-*") for p in map(json.loads, part.read_text().split("\n")[:-1])}
+
+
+def test_render_job_counts_and_sorts_out(spark, job):
+    records = [{"question": 'a "quoted" one' if i % 4 == 0 else f"q{i}", "sql": "s"} for i in range(12)]
+    (job / "some.jsonl").write_text("".join(json.dumps(r) + "\n" for r in records))
+    dataset = {"input": str(job / "some.jsonl"), "output": str(job / "out")}
+    spec = RenderSpec.of({"default_template": str(job / "sql.json"), "datasets": [dataset]})
+    expected = {"rendered": 12, "invalid": 3}
+    assert run_render(spark, spec, mode="raw") == [expected] and len(_lines(job / "out")) == 12
+    assert run_render(spark, spec, mode="raw", on_error="quarantine") == [expected]
+    assert _counts(job / "out.counts") == expected
+    assert len(_lines(job / "out/status=good")) == 9 and len(_lines(job / "out/status=bad")) == 3
+    assert run_render(spark, spec, on_error="fail") == [{"rendered": 12, "invalid": 0}]
+    with pytest.raises(Exception, match="no JSON"):
+        run_render(spark, spec, mode="raw", on_error="fail")
+    with pytest.raises(ValueError):
+        run_render(spark, spec, on_error="drop")
+
+
+def test_evaluate_job_names_items_by_place_and_sorts_out(spark, job):
+    records = [{"question": '"broken' if i == 3 else f"q{i}", "sql": "select 1"} for i in range(40)]
+    ids = []
+    for folder, split in (("here", "200"), ("some where", "134217728")):
+        (job / folder / "data").mkdir(parents=True)
+        lines = [json.dumps(r) for r in records]
+        (job / folder / "data" / "a.jsonl").write_text("\n".join([*lines[:2], "", *lines[2:]]) + "\n")
+        (job / folder / "data" / "b.json").write_text(json.dumps(records[4:20]))
+        given = {"models": MODELS, "data_path": str(job / folder / "data"), "prompt_template": str(job / "ask.json")}
+        log = job / folder / "log"
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            run_evaluate(spark, EvaluateSpec.of(given), _answering({}), mode="raw", log_path=str(log), run_id="r", on_error="quarantine")
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        logged = spark.read.parquet(str(log)).filter("name = 'two'")
+        ids.append({(r.item_id, r.question) for r in logged.select("item_id", "question").collect()})
+        rejects = spark.read.parquet(str(job / folder / "log.rejects/run_id=r")).collect()
+        assert [r.item_id for r in rejects] == ["0:a.jsonl:4"] and '"broken' in rejects[0].rendered
+        assert _counts(job / folder / "log.counts") == {"items": 56, "rejects": 1, "answers": 110, "exact": 0}
+    assert ids[0] == ids[1] and len(ids[0]) == 55
+    assert {i for i, q in ids[0] if q == "q10"} == {"0:a.jsonl:11", "0:b.json:7"}
