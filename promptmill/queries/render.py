@@ -24,7 +24,7 @@ from ..plans.render import render_records, run_render
 from ..session import scratch_path
 from ..sinks.writers import write_config, write_lines
 from ..sources.config import DatasetSpec, RenderSpec
-from ..sources.records import lines_with_provenance, parse_records, read_records
+from ..sources.records import line_numbers, lines_with_provenance, parse_records, read_lines, read_records
 from .registry import query, table
 
 SYSTEM = "You turn questions into SQL. Answer with one statement."
@@ -301,3 +301,22 @@ def render_sorted_out(spark, folder):
     written = spark.read.schema("value string, status string").text(out).groupBy("status").agg(F.count("*").alias("n"))
     written = written.select(F.concat("status", F.lit(" lines")).alias("what"), "n")
     return spark.read.schema("what string, n long").json(f"{out}.counts").unionByName(written)
+
+
+LINES_PER_FILE = 64
+
+
+@query(
+    f"""SELECT doc_id, i // {LINES_PER_FILE} AS part, i % {LINES_PER_FILE} + 1 AS line_no
+        FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents)"""
+)
+def ordered_lines(spark, folder):
+    """Records rendered in input order to files of equal numbers of lines: file and line of each."""
+    source, out = scratch_path(spark, "sorted"), scratch_path(spark, "ordered")
+    docs = table(spark, folder, "documents").select("doc_id", "text").repartitionByRange(7, "doc_id").sortWithinPartitions("doc_id")
+    docs.select(F.to_json(F.struct("doc_id", "text"))).write.text(source)
+    write_lines(read_records(spark, source, layout="lines"), F.col("raw"), out, ordered=True, lines_per_file=LINES_PER_FILE)
+    lines = read_lines(spark, out)
+    part = F.regexp_extract("src_file", "part-([0-9]+)-", 1).cast("bigint").alias("part")
+    doc_id = F.get_json_object("value", "$.doc_id").cast("bigint").alias("doc_id")
+    return line_numbers(lines, lines).select(doc_id, part, "line_no")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import py_rstrip, safe_name
+from ..session import materialize
 from ..sources.records import PROVENANCE
 
 RUN_LOG_COLUMNS = [
@@ -25,15 +26,40 @@ RUN_LOG_COLUMNS = [
 ]
 
 
-def write_lines(df: DataFrame, text: Column, path: str, ordered: bool = False) -> None:
+LINES_PER_FILE = 1_000_000
+
+
+def write_lines(df: DataFrame, text: Column, path: str, ordered: bool = False, lines_per_file: int = LINES_PER_FILE) -> None:
     """One text per line, trailing white space removed, replacing what is there.
 
-    The output is a folder of part files.  With ``ordered`` the rows are first sorted back into
-    input order by a range-partitioned sort, so the part files, read in name order, are too.
+    The output is a folder of part files.  With ``ordered`` they are, in name order, in input order,
+    with ``lines_per_file`` lines each (the last one fewer).
+    """
+    line = py_rstrip(text).alias("value")
+    if not ordered:
+        df.select(line).write.mode("overwrite").text(path)
+        return
+    rows = materialize(df.select(*PROVENANCE, line), "unordered")
+    files = max(1, -(-rows.count() // lines_per_file))
+    place = numbered_in_input_order(rows)
+    part = F.floor(F.col("index") / lines_per_file).cast("int")
+    place.repartitionById(files, part).sortWithinPartitions("index").select("value").write.mode("overwrite").text(path)
+
+
+def numbered_in_input_order(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``index``, their dense place (from 0) in input order.
+
+    Rows are numbered within their input split; the counts of the splits, one small row each, are
+    summed up in order.  Nothing is sampled or sorted as a whole.  ``rows`` is read twice: hand in a
+    written table.
     """
-    if ordered:
-        df = df.orderBy(*PROVENANCE)
-    df.select(py_rstrip(text).alias("value")).write.mode("overwrite").text(path)
+    split = PROVENANCE[:3]
+    counts = rows.groupBy(*split).agg(F.count("*").alias("_n"))
+    before = f"sum(_n) over (order by {', '.join(split)} rows between unbounded preceding and 1 preceding)"
+    starts = counts.select(*split, F.coalesce(F.expr(before), F.lit(0)).alias("_before"))
+    in_split = F.expr(f"row_number() over (partition by {', '.join(split)} order by seq)")
+    numbered = rows.withColumn("_place", in_split).join(starts, split)
+    return numbered.select(*rows.columns, (F.col("_before") + F.col("_place") - 1).alias("index"))
 
 
 def write_sorted_out(df: DataFrame, text: Column, valid: Column, path: str) -> None:
