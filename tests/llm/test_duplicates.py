@@ -113,6 +113,32 @@ def test_near_vectors(vectors, block, monkeypatch):
         assert (found[i].n_links, found[i].component_id, found[i].kept) == (0, i, True)
 
 
+def test_pivots_grow_with_the_square_root():
+    assert [pivots.pivots_for(n) for n in (0, 10_000, 40_000, 160_000, 10**12)] == [256, 256, 500, 1000, pivots.MOST_PIVOTS]
+
+
+def test_bits_of_shared_pivots():
+    random = np.random.default_rng(3)
+    prefix = np.stack([random.choice(300, 8, replace=False) for _ in range(150)]).astype(np.uint16)
+    bits = pivots._bits(prefix, prefix > 90)
+    common = np.bitwise_count(bits[:, None] & bits[None]).sum(axis=2)
+    sets = [set(p[p > 90].tolist()) for p in prefix]
+    assert all(common[i, j] == len(sets[i] & sets[j]) for i in range(150) for j in range(150) if i != j)
+    assert not pivots._bits(prefix, prefix > 300).any()
+
+
+@pytest.mark.parametrize(("count", "chosen"), [(500, 16), (2000, None), (2000, 700)])
+def test_links_of_near_vectors_by_brute_force(vectors, count, chosen):
+    rows = _near_rows(count)
+    x = np.array([r[1] for r in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = (x @ x.T >= 0.98) & np.equal.outer([r[2] for r in rows], [r[2] for r in rows])
+    n_links = near.sum(axis=1) - 1
+    found = {r.vec_id: r.n_links for r in pivots.near_vectors(vectors(rows), pivots=chosen).collect()}
+    assert len(found) == count and all(found[i] <= n for i, n in enumerate(n_links))
+    assert sum(found.values()) >= 0.95 * n_links.sum() > 0
+
+
 def test_vector_operators_of_nothing(vectors):
     assert pivots.near_vectors(vectors([])).count() == 0
     assert collisions.nearest(vectors([]), F.col("vec_id") % 20 == 0).count() == 0
