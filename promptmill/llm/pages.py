@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -50,8 +51,8 @@ _READER_WORDS = frozenset("ad ads advert comment comments promo recommended rela
 # Elements whose inside is no text of the page.
 _DROPPED = frozenset("button noscript object select svg template".split())
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|iframe|textarea|title)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
+    r"<!--.*?(?:-->|(?P<comment>\Z))"
+    r"|<(?P<raw>script|style|iframe|textarea|title)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|(?P<unended>\Z))"
     r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[a-z/!?][^>]*>",
     re.IGNORECASE | re.DOTALL,
@@ -73,14 +74,28 @@ class Block:
     where: int = NOWHERE
     heading: bool = False
     item: bool = False
-    #: Tag position of the outermost element that a name, or being a form, puts outside (-1: none), and what did.
+    #: The innermost element around it that a name, or being a form, puts outside (-1: none).
     wrapper: int = -1
-    cause: int = UNNAMED
     text: str = ""
     words: int = 0
     links: float = 0.0
 
 
+@dataclass
+class Wrapper:
+    """An element that a name, or being a form, puts outside."""
+
+    at: int  # tag position
+    parent: int  # the one around it, or -1
+    cause: int
+
+
+@dataclass
+class Page:
+    blocks: list[Block] = field(default_factory=list)
+    wrappers: list[Wrapper] = field(default_factory=list)
+
+
 def _names(text: str) -> set[str]:
     """The words of a class or id; of each name, those before a layout word."""
     words = set()
@@ -140,13 +155,34 @@ def _dropped_spans(tags: list[re.Match]) -> dict[int, int]:
     return spans
 
 
-def blocks(page: str | None, lift: bool = False, void: frozenset[int] = frozenset()) -> list[Block]:
+class _Nest:
+    """Names of open elements; knows which are open without a search."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple] = []
+        self.count: Counter[str] = Counter()
+
+    def open(self, name: str, *state: object) -> None:
+        self.stack.append((name, *state))
+        self.count[name] += 1
+
+    def close(self, name: str) -> tuple:
+        """Closes the innermost element of that name, and those in it; what was noted when it was opened."""
+        while True:
+            last, *state = self.stack.pop()
+            self.count[last] -= 1
+            if last == name:
+                return tuple(state)
+
+
+def read_page(page: str | None, lift: bool = False, void: frozenset[int] = frozenset()) -> Page:
     """All blocks of a page that have text; elements at the positions ``void`` are not judged by name."""
     page = page or ""
-    found: list[Block] = []
-    stack: list[tuple[str, int, int, tuple[int, int]]] = []
+    result = Page()
+    found, wrappers = result.blocks, result.wrappers
+    nest, inner = _Nest(), _Nest()
     where, named, heading, item, in_link = NOWHERE, UNNAMED, False, False, False
-    nothing = wrapped = (-1, UNNAMED)
+    wrapped, holds = -1, True
     block = Block()
 
     def close() -> None:
@@ -156,7 +192,7 @@ def blocks(page: str | None, lift: bool = False, void: frozenset[int] = frozense
             block.words = len(block.text.split())
             block.links = len("".join("".join(block.linked).split())) / len(block.text.replace(" ", ""))
             found.append(block)
-        block = Block(where=where, heading=heading, item=item, wrapper=wrapped[0], cause=wrapped[1])
+        block = Block(where=where, heading=heading, item=item, wrapper=wrapped)
 
     def add(text: str) -> None:
         if text:
@@ -165,9 +201,11 @@ def blocks(page: str | None, lift: bool = False, void: frozenset[int] = frozense
             if in_link:
                 block.linked.append(text)
 
-    tags = list(_TAG.finditer(page))
+    # After the last ">" is no tag; a search for one would go to the end from every "<".
+    end = page.rfind(">") + 1
+    tags = list(_TAG.finditer(page, 0, end))
     spans = _dropped_spans(tags)
-    at, dropped_to, inner = 0, 0, []
+    at, dropped_to = 0, 0
     for tag in tags:
         if at >= dropped_to:
             add(page[at : tag.start()])
@@ -178,15 +216,15 @@ def blocks(page: str | None, lift: bool = False, void: frozenset[int] = frozense
         closing, rest = bool(tag["close"]), tag["rest"]
         if at <= dropped_to:
             if name in _NESTING and not closing:
-                inner.append(name)
-            elif name in inner:
-                del inner[len(inner) - 1 - inner[::-1].index(name) :]
-            elif closing and name in _NESTING and any(name == s[0] for s in stack):
+                inner.open(name)
+            elif inner.count[name]:
+                inner.close(name)
+            elif closing and name in _NESTING and nest.count[name]:
                 dropped_to = 0  # the end of an element around the dropped one
             if dropped_to:
                 continue
         elif at in spans:
-            dropped_to, inner = spans[at], []
+            dropped_to, inner = spans[at], _Nest()
         if name == "a":
             in_link = not closing and bool(rest)
         elif name == "br":
@@ -194,22 +232,26 @@ def blocks(page: str | None, lift: bool = False, void: frozenset[int] = frozense
         if name not in _BLOCK:
             continue
         if closing:
-            if name in _NESTING and any(name == s[0] for s in stack):
-                while True:
-                    last, where_before, named_before, wrapped_before = stack.pop()
-                    if last == name:
-                        break
-                where, named, wrapped = where_before, named_before, wrapped_before
+            if name in _NESTING and nest.count[name]:
+                where, named, wrapped, holds = nest.close(name)
             heading, item = False, False if name in ("li", "ul", "ol", "menu") else item
         else:
             if name in _NESTING:
-                stack.append((name, where, named, wrapped))
+                nest.open(name, where, named, wrapped, holds)
                 where, named = _standing(name, rest, where, named, lift, tag.start() in void)
                 form = name == "form" and where == OUTSIDE and not named
                 if where != OUTSIDE or named == HIDDEN:
-                    wrapped = nothing
-                elif wrapped == nothing and (named or form):
-                    wrapped = tag.start(), named or NAMED
+                    wrapped, holds = -1, True
+                elif wrapped < 0 and (named or form):
+                    wrappers.append(Wrapper(tag.start(), -1, named or NAMED))
+                    wrapped = len(wrappers) - 1
+                elif wrapped >= 0 and holds:
+                    # What it would be if those around it said nothing.
+                    alone, cause = _standing(name, rest, NOWHERE, UNNAMED, lift)
+                    if alone == OUTSIDE and (cause or name == "form"):
+                        wrappers.append(Wrapper(tag.start(), wrapped, cause or NAMED))
+                        wrapped = len(wrappers) - 1
+                    holds = alone == NOWHERE or (alone == OUTSIDE and wrappers[wrapped].at == tag.start())
             heading = len(name) == 2 and name[0] == "h" and name[1].isdigit()
             item = name == "li" or (item and name not in _NESTING)
         in_link = in_link and name not in _NESTING
@@ -217,9 +259,10 @@ def blocks(page: str | None, lift: bool = False, void: frozenset[int] = frozense
         if not closing and name not in _NESTING and rest:
             # A paragraph or list item may be named on its own.
             block.where = _standing(name, rest, where, named)[0]
-    add(page[at:])
+    if not tags or (tags[-1]["comment"] is None and tags[-1]["unended"] is None):
+        add(page[at:].partition("<!--")[0])
     close()
-    return found
+    return result
 
 
 # One labelled block a line: where it stands (0 nowhere special, 1 inside, 2 outside), whether the page
@@ -355,37 +398,63 @@ def _kept(found: list[Block], tree: Tree) -> list[str]:
     ]
 
 
-def _misnamed(found: list[Block], kept: bool) -> int:
-    """The position of an element that is outside by name and holds most of the page's unlinked words, or -1.
+#: A wrapper with that part of the page's unlinked words outside the wrappers in it is judged before these.
+_OWN_WORDS = 0.125
+
 
-    What readers or others wrote may be most of a page; it counts only where nothing else is kept.
+def _misnamed(page: Page, kept: bool, readers: bool) -> list[int]:
+    """The wrappers to judge by their blocks: those that hold most of the page's unlinked words.
+
+    They are nested; the list ends with the first that has words of its own, and before the first one
+    of what readers or others wrote unless ``readers`` says that such a one was judged already.  That may
+    be most of a page; it counts only where nothing else is kept.
     """
-    unlinked: dict[int, float] = {}
-    for b in found:
-        if b.wrapper >= 0 and not (b.cause == READERS and kept):
-            unlinked[b.wrapper] = unlinked.get(b.wrapper, 0.0) + b.words * (1 - b.links)
-    most = max(unlinked, key=unlinked.__getitem__, default=-1)
-    return most if most >= 0 and 2 * unlinked[most] > sum(b.words * (1 - b.links) for b in found) else -1
+    wrappers = page.wrappers
+    own = [0.0] * len(wrappers)
+    total = 0.0
+    for b in page.blocks:
+        unlinked = b.words * (1 - b.links)
+        total += unlinked
+        if b.wrapper >= 0:
+            own[b.wrapper] += unlinked
+    held = own[:]
+    for i in range(len(wrappers) - 1, -1, -1):
+        if wrappers[i].parent >= 0:
+            held[wrappers[i].parent] += held[i]
+    chosen: list[int] = []
+    for i, wrapper in enumerate(wrappers):
+        if wrapper.parent != (chosen[-1] if chosen else -1) or 2 * held[i] <= total:
+            continue
+        if wrapper.cause == READERS and (kept or (chosen and not readers)):
+            break
+        readers = readers or wrapper.cause == READERS
+        chosen.append(i)
+        if own[i] >= _OWN_WORDS * total:
+            break
+    return chosen
 
 
 def main_text(page: str | None, tree: Tree) -> str:
     """The kept blocks of a page, one a line.
 
     Names of elements may mislead.  On a page without an inside, an article within a named element is
-    one; if there is still none, an element that is outside by its name, or a form, and holds most of
-    the page's unlinked words is judged by its blocks.
+    one; if there is still none, elements that are outside by name, or forms, and hold most of the
+    page's unlinked words are judged by their blocks.  Nested ones are judged together, up to one with
+    words of its own, so a page is read a bounded number of times, however deep they nest.
     """
-    found = blocks(page)
-    lift, void = False, frozenset()
-    while any(b.wrapper >= 0 for b in found) and not any(b.where == INSIDE for b in found):
+    read = read_page(page)
+    lift, void, readers = False, frozenset(), False
+    while read.wrappers and not any(b.where == INSIDE for b in read.blocks):
         if not lift:
             lift = True
-        elif (at := _misnamed(found, bool(_kept(found, tree)))) >= 0:
-            void |= {at}
         else:
-            break
-        found = blocks(page, lift, void)
-    return "\n".join(_kept(found, tree))
+            chosen = [read.wrappers[i] for i in _misnamed(read, bool(_kept(read.blocks, tree)), readers)]
+            if not chosen:
+                break
+            void |= {w.at for w in chosen}
+            readers = readers or any(w.cause == READERS for w in chosen)
+        read = read_page(page, lift, void)
+    return "\n".join(_kept(read.blocks, tree))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
