@@ -24,7 +24,6 @@ no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,9 +43,6 @@ REMEMBERED = 16_384
 _GROUP = 64
 _STEP = 4_096
 _UNDEFINED = "und"
-# Whatever is not a letter: also signs that count as word characters, like superscripts and fractions.
-_NUMERALS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_GAP = re.compile(rf"[\W\d_{_NUMERALS}]+")
 _SCALE = 10_000
 #: A document is like a language from this share of the lowest tenth's cosine; rows a class needs.
 SHARE = 0.5
@@ -62,6 +58,8 @@ class Bundler:
         self.letters: dict[int, int] = {}
         self.table = np.zeros((0, dimensions), np.int8)
         self.index = np.full(0x110000, -1, np.int32)
+        # By category: neither digits nor superscripts and fractions are letters.
+        self.is_letter = np.fromiter((chr(code).isalpha() for code in range(0x110000)), bool, 0x110000)
         self.forget()
 
     def forget(self) -> None:
@@ -80,11 +78,15 @@ class Bundler:
 
     def sequences(self, text: str | None) -> np.ndarray:
         """Keys of all three-letter sequences of a text; runs of other characters are one gap."""
-        letters = _GAP.sub(" ", (text or "").lower()).strip()
-        if not letters:
+        codes = np.frombuffer(f"{(text or '').lower()} ".encode("utf-32-le", "surrogatepass"), "<u4")
+        letter = self.is_letter[codes]
+        if not letter.any():
             return np.empty(0, np.int64)
-        codes = np.frombuffer(f" {letters} ".encode("utf-32-le", "surrogatepass"), "<u4")
-        at = self._letters(codes).astype(np.int64)
+        # Letters, and the first other character after each run of them as its gap; a gap to begin with.
+        kept = letter.copy()
+        kept[1:] |= letter[:-1]
+        codes = np.where(letter, codes, ord(" "))[kept]
+        at = self._letters(np.concatenate([[ord(" ")], codes])).astype(np.int64)
         return at[:-2] << 42 | at[1:-1] << 21 | at[2:]
 
     def _rows(self, keys: np.ndarray) -> np.ndarray:
