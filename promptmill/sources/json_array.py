@@ -3,13 +3,15 @@
 A file that holds one array has no line structure to split by.  Here the text source splits it at
 ``}`` instead, so Hadoop's normal file splits apply and every piece is smaller than a record.
 Whether a ``}`` is real depends on what comes before it: the open strings and braces of all
-earlier text.  That state is carried over splits, not over pieces:
+earlier text.  Array operations on whole batches reduce a piece to three small numbers: whether it
+flips the string state, and its brace balance if it starts outside or inside a string.  Then
 
-1. each split reports its quote parity and its brace balance (one small row per split);
-2. running sums over those rows give the state at the start of every split;
-3. each split is read again with its start state, giving whole elements, and at its two ends
-   parts of elements that cross into the neighbours;
-4. only those parts are shuffled and glued together.
+1. each split sums its numbers up for both possible start states (one small row per split) and
+   notes the first and the last piece that ends at its lowest depth;
+2. running sums over those rows give the state at the start of every split, so the lowest depth,
+   and with it which pieces are part of an element that crosses into a neighbour;
+3. the whole elements of a split are glued where they are read;
+4. only the pieces of crossing elements are shuffled.  They are numbered by the rows of step 2.
 
 Malformed input ends the job: unbalanced text, anything but a comma between elements, elements
 that are not objects, text after the closing bracket.
@@ -20,121 +22,189 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_ESCAPE = re.compile(r"\\.", re.S)
-_JSON_SPACE = " \t\n\r"
-
 # One state row per input split.  Up to this many are sent to every task (about 100 bytes each).
 MAX_BROADCAST_SPLITS = 200_000
 
-_STATE = (
-    "src_idx int, src_file string, file_size long, block_start long, parity int, "
-    "balance_out long, balance_in long, n_bytes long"
-)
-_PART = (
-    "src_idx int, src_file string, block_start long, seq long, value string, "
-    "starts boolean, ends boolean"
+_SPLIT = ["src_idx", "src_file", "block_start"]
+_SIDE = "struct<balance: long, low: long, first: long, last: long, low_inner: long, first_inner: long, last_inner: long>"
+_SUMMARY = (
+    "src_idx int, src_file string, block_start long, file_size long, n_bytes long, parity int, "
+    f"first_seq long, last_seq long, outside {_SIDE}, inside {_SIDE}"
 )
+_ELEMENT = "src_idx int, src_file string, block_start long, seq long, value string"
 
+# What stands before the first element and before any other one.
+_BEFORE_FIRST, _BEFORE_NEXT = (rf"^[ \t\r\n]*{sign}[ \t\r\n]*(?=\{{)" for sign in (r"\[", ","))
+_FIRST, _NEXT = re.compile(_BEFORE_FIRST), re.compile(_BEFORE_NEXT)
+_CLOSING, _EMPTY = re.compile(r"[ \t\r\n]*\][ \t\r\n]*"), re.compile(r"[ \t\r\n]*\[[ \t\r\n]*\][ \t\r\n]*")
 
-def _outside(piece: str) -> tuple[str, str, bool]:
-    """The text outside strings, if the piece starts outside or inside one, and whether it flips.
 
-    In valid JSON a backslash only occurs inside strings, so escapes can go first; each quote
-    left is then a real one, whatever the state before.
-    """
-    parts = (_ESCAPE.sub("", piece) if "\\" in piece else piece).split('"')
-    return "".join(parts[0::2]), "".join(parts[1::2]), len(parts) % 2 == 0
+def _numbers(values: pa.Array) -> list[np.ndarray]:
+    """Of each piece: does it flip the string state, and the brackets it opens minus those it closes
+    if it starts outside, or inside, a string.
 
+    In valid JSON a backslash only occurs inside strings, so escaped quotes are known whatever the
+    state before; each other quote is a real one.  No piece holds a closing brace.
+    """
+    n, text = len(values), values.buffers()[2]
+    bounds = np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + n + 1]
+    data = np.frombuffer(text if text is not None else b"", np.uint8)[bounds[0] : bounds[-1]]
+    bounds = bounds - bounds[0]
+    quote = data == ord('"')
+    slashes = np.flatnonzero(data == ord("\\"))
+    if len(slashes):
+        piece = np.searchsorted(bounds, slashes, "right") - 1
+        place = np.arange(len(slashes))
+        opens = np.ones(len(slashes), bool)
+        opens[1:] = (np.diff(slashes) != 1) | (np.diff(piece) != 0)
+        # Of a row of backslashes every other one escapes what follows.
+        escaping = (place - np.maximum.accumulate(np.where(opens, place, 0))) % 2 == 0
+        quote[slashes[escaping & (slashes + 1 < bounds[piece + 1])] + 1] = False
+    quotes = np.flatnonzero(quote)
+    quotes_to = np.searchsorted(quotes, bounds)
+    brackets = np.flatnonzero((data == ord("{")) | (data == ord("[")) | (data == ord("]")))
+    piece = np.searchsorted(bounds, brackets, "right") - 1
+    as_started = (np.searchsorted(quotes, brackets) - quotes_to[piece]) % 2 == 0
+    step = np.where(data[brackets] == ord("]"), -1, 1)
+    sides = [np.bincount(piece[at], step[at], n).astype(np.int64) for at in (as_started, ~as_started)]
+    return [np.diff(quotes_to) % 2, *sides]
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Cut batches into runs of one split."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        file = batch.column("src_file").dictionary_encode().indices.to_numpy()
+        block = batch.column("block_start").to_numpy()
+        cuts = np.flatnonzero((np.diff(file) != 0) | (np.diff(block) != 0)) + 1
+        for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+            run = batch.slice(start, end - start)
+            yield tuple(run.column(c)[0].as_py() for c in _SPLIT), run
+
+
+def _walk(inside: int, depth: int, numbers: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """After each piece: is a string open, and how many braces and brackets are."""
+    parity, if_outside, if_inside = numbers
+    after = (inside + np.cumsum(parity)) % 2
+    steps = np.where(after != parity, if_inside, if_outside) - (1 - after)
+    return after, depth + np.cumsum(steps, dtype=np.int64)
+
+
+class _Side:
+    """Depths of one split, counted from its start, if it starts outside or inside a string."""
+
+    def __init__(self, inside: int) -> None:
+        self.inside, self.balance = inside, 0
+        self.low = self.first = self.last = None
+
+    def add(self, seq: np.ndarray, numbers: Sequence[np.ndarray]) -> None:
+        after, depth = _walk(self.inside, self.balance, numbers)
+        self.inside, self.balance = int(after[-1]), int(depth[-1])
+        closed = after == 0
+        if not closed.any():
+            return
+        low = int(depth[closed].min())
+        at = seq[closed & (depth == low)]
+        if self.low is None or low < self.low:
+            self.low, self.first, self.last = low, int(at[0]), int(at[-1])
+        elif low == self.low:
+            self.last = int(at[-1])
+
+    def row(self, seq: np.ndarray, numbers: Sequence[np.ndarray]) -> dict:
+        """The side with its very last piece, and what was lowest before that one."""
+        inner = {"low_inner": self.low, "first_inner": self.first, "last_inner": self.last}
+        self.add(seq, numbers)
+        return {"balance": self.balance, "low": self.low, "first": self.first, "last": self.last, **inner}
+
+
+def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per split.  The last piece is held back: that of a file has no brace behind it."""
+    key, row, sides, held = None, {}, [], None
+
+    def closed() -> pa.RecordBatch:
+        ends = {name: side.row(held[0], held[1:]) for name, side in zip(("outside", "inside"), sides)}
+        whole = {**row, "last_seq": int(held[0][0]), **ends}
+        return pa.RecordBatch.from_pylist([{n: whole[n] for n in _summary_type.names}], schema=_summary_type)
+
+    for run_key, run in _runs(batches):
+        values = run.column("value")
+        numbers = [run.column("seq").to_numpy(), *_numbers(values)]
+        if run_key != key:
+            if held is not None:
+                yield closed()
+            key, sides, held = run_key, [_Side(0), _Side(1)], None
+            row = {**dict(zip(_SPLIT, key)), "file_size": run.column("file_size")[0].as_py()}
+            row |= {"n_bytes": 0, "parity": 0, "first_seq": int(numbers[0][0])}
+        row["n_bytes"] += pc.sum(pc.binary_length(values)).as_py() + len(values)
+        row["parity"] = (row["parity"] + int(numbers[1].sum())) % 2
+        if held is not None:
+            numbers = [np.concatenate(pair) for pair in zip(held, numbers)]
+        held = [n[-1:] for n in numbers]
+        if len(numbers[0]) > 1:
+            for side in sides:
+                side.add(numbers[0][:-1], [n[:-1] for n in numbers[1:]])
+    if held is not None:
+        yield closed()
+
+
+_side_type = pa.struct([(n, pa.int64()) for n in ("balance", "low", "first", "last", "low_inner", "first_inner", "last_inner")])
+_summary_type = pa.schema(
+    [
+        ("src_idx", pa.int32()),
+        ("src_file", pa.string()),
+        ("block_start", pa.int64()),
+        ("file_size", pa.int64()),
+        ("n_bytes", pa.int64()),
+        ("parity", pa.int32()),
+        ("first_seq", pa.int64()),
+        ("last_seq", pa.int64()),
+        ("outside", _side_type),
+        ("inside", _side_type),
+    ]
+)
 
-def _balance(text: str) -> int:
-    """Brackets opened minus brackets closed; no piece holds a closing brace."""
-    return text.count("{") + text.count("[") - text.count("]")
 
-
-def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[bool, tuple, pd.DataFrame]]:
-    """Cut batches into runs of one split; the flag tells whether the run opens a new split."""
-    last = None
-    for batch in batches:
-        change = (batch["src_file"] != batch["src_file"].shift()) | (
-            batch["block_start"] != batch["block_start"].shift()
-        )
-        for _, run in batch.groupby(change.cumsum(), sort=False):
-            key = (run["src_idx"].iat[0], run["src_file"].iat[0], run["block_start"].iat[0])
-            yield key != last, key, run
-            last = key
-
-
-def _split_summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    rows: list[list] = []
-    for is_new, key, run in _runs(batches):
-        if is_new:
-            rows.append([key[0], key[1], run["file_size"].iat[0], key[2], 0, 0, 0, 0])
-        row = rows[-1]
-        flipped = bool(row[4])
-        for piece in run["value"]:
-            if_out, if_in, flips = _outside(piece)
-            # Both possible start states of the split: outside a string, inside one.
-            for at, inside in ((5, flipped), (6, not flipped)):
-                closes = inside == flips
-                row[at] += _balance(if_in if inside else if_out) - closes
-            flipped ^= flips
-            row[7] += len(piece.encode()) + 1
-        row[4] = int(flipped)
-    if rows:
-        yield pd.DataFrame(rows, columns=[c.split()[0] for c in _STATE.split(", ")])
-
-
-def _element_start(piece: str, first: bool) -> str:
-    """The piece without the bracket or comma that must stand before an element."""
-    text = piece.lstrip(_JSON_SPACE)
-    if not first and text.startswith("]"):
-        return text
-    body = text[1:].lstrip(_JSON_SPACE)
-    if text[:1] != ("[" if first else ",") or body[:1] not in ("{", "]" if first else "{"):
-        raise ValueError(f"malformed JSON array of objects near {piece[:80]!r}")
-    return body
-
-
-def _elements(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Whole elements and end parts of each split, given the state at its start."""
-    columns = [c.split()[0] for c in _PART.split(", ")]
-    done: list[tuple] = []
-    held: list[str] = []
-    key: tuple = ()
-    held_seq, starts, in_string, depth = 0, False, False, 0
-
-    for is_new, run_key, run in _runs(batches):
-        if is_new:
-            if held:
-                done.append((*key, held_seq, "".join(held), starts, False))
-            key, held = run_key, []
-            in_string, depth = bool(run["in_string"].iat[0]), int(run["depth"].iat[0])
-            # Splits begin behind a "}".  With only the array open, that one ended an element.
-            starts = not in_string and depth == (1 if key[2] else 0)
-        for seq, piece in zip(run["seq"], run["value"]):
-            if not held:
-                held_seq = seq
-            text = _element_start(piece, depth == 0) if starts and not held else piece
-            if_out, if_in, flips = _outside(piece)
-            depth += _balance(if_in if in_string else if_out)
-            in_string ^= flips
-            if starts and not held and text.rstrip(_JSON_SPACE) == "]" and depth == 0:
-                continue
-            held.append(text + "}")
-            if not in_string:
-                depth -= 1
-                if depth == 1:
-                    done.append((*key, held_seq, "".join(held), starts, True))
-                    held, starts = [], True
-        if done:
-            yield pd.DataFrame(done, columns=columns)
-            done = []
-    if held:
-        yield pd.DataFrame([(*key, held_seq, "".join(held), starts, False)], columns=columns)
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole elements.  What comes in of a split begins and ends between two of them."""
+    key, held, held_seq = None, [], 0
+    inside, depth, at_start = 0, 0, False
+    for run_key, run in _runs(batches):
+        if run_key != key:
+            key, held, inside = run_key, [], 0
+            at_start = key[2] == 0
+            depth = -1 if at_start else 0
+        seq = run.column("seq").to_numpy()
+        texts = run.column("value").to_pylist()
+        after, depths = _walk(inside, depth, _numbers(run.column("value")))
+        inside, depth = int(after[-1]), int(depths[-1])
+        ends = np.flatnonzero((after == 0) & (depths == 0))
+        n = len(texts)
+        if seq[-1] == run.column("closing_seq")[0].as_py():
+            if not (_EMPTY if at_start and n == 1 and not held else _CLOSING).fullmatch(texts[-1]):
+                raise ValueError(f"malformed end of a JSON array: {texts[-1][:80]!r}")
+            ends, n = ends[ends < n - 1], n - 1
+        starts, values, begin = [], [], 0
+        for end in ends.tolist():
+            starts.append(held_seq if held else seq[begin])
+            body = "}".join([*held, *texts[begin : end + 1]])
+            before = (_FIRST if at_start else _NEXT).match(body)
+            if not before:
+                raise ValueError(f"malformed JSON array of objects near {body[:80]!r}")
+            values.append(body[before.end() :] + "}")
+            held, begin, at_start = [], end + 1, False
+        if begin < n:
+            held_seq = held_seq if held else int(seq[begin])
+            held += texts[begin:n]
+        constants = [pa.repeat(pa.scalar(v, t), len(values)) for v, t in zip(key, (pa.int32(), pa.string(), pa.int64()))]
+        columns = [*constants, pa.array(starts, pa.int64()), pa.array(values, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, names=["src_idx", "src_file", "block_start", "seq", "value"])
 
 
 def _byte_size(setting: str) -> int:
@@ -143,44 +213,91 @@ def _byte_size(setting: str) -> int:
     return int(text[:-1]) << units[text[-1]] if text[-1] in units else int(text)
 
 
-def _split_count(spark: SparkSession, paths: Sequence[str]) -> int:
-    """An upper bound for the number of input splits, from file sizes alone."""
-    sizes = spark.read.format("binaryFile").load(list(paths)).select("length")
-    total = sizes.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+def _most_splits(spark: SparkSession, text: DataFrame) -> int:
+    """An upper bound for the number of input splits, from the file listing alone."""
+    total = int(str(text._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     largest = _byte_size(spark.conf.get("spark.sql.files.maxPartitionBytes"))
     open_cost = _byte_size(spark.conf.get("spark.sql.files.openCostInBytes"))
     per_core = total // max(spark.sparkContext.defaultParallelism, 1)
     split = max(min(largest, max(open_cost, per_core)), 1)
-    return sizes.agg(F.sum(F.ceil(F.col("length") / split) + 1)).first()[0] or 0
+    return total // split + 1 + len(text.inputFiles())
 
 
 def _split_states(pieces: DataFrame) -> DataFrame:
-    """String state and depth at the start of each split; checks that each file is balanced."""
-    before = "(partition by src_idx, src_file order by block_start rows between unbounded preceding and 1 preceding)"
-    whole = "(partition by src_idx, src_file)"
-    summed = (
-        pieces.mapInPandas(_split_summaries, _STATE)
-        .withColumn("in_string", F.expr(f"coalesce(sum(parity) over {before}, 0) % 2 = 1"))
-        .withColumn("balance", F.expr("if(in_string, balance_in, balance_out)"))
+    """Which pieces of each split belong to whole elements; checks that each file is balanced.
+
+    Pieces up to ``head_to`` end element ``n_before`` of those that cross, pieces from ``tail_from`` begin
+    the next one; piece ``closing_seq`` closes the array.
+    """
+    file = "partition by src_idx, src_file"
+    before = f"({file} order by block_start rows between unbounded preceding and 1 preceding)"
+    never = f"{2**63 - 1}L"
+    started = pieces.mapInArrow(_summaries, _SUMMARY).selectExpr(
+        "*",
+        f"coalesce(sum(parity) over {before}, 0) % 2 = 1 as in_string",
+        f"lead(block_start) over ({file} order by block_start) is null as is_last",
+    )
+    sided = started.selectExpr("*", "if(in_string, inside, outside) as side").selectExpr(
+        "*",
+        f"coalesce(sum(side.balance) over {before}, 0) as depth",
+        "if(is_last, side.low_inner, side.low) as low",
+        "if(is_last, side.first_inner, side.first) as first",
+        "if(is_last, side.last_inner, side.last) as last",
+    )
+    # Splits begin behind a "}".  With only the array open, that one ended an element.
+    placed = sided.selectExpr(
+        "*",
+        "coalesce(depth + low = 1, false) as has_end",
+        "not in_string and depth = if(block_start = 0, 0, 1) as between",
+    ).selectExpr(
+        "*",
+        f"if(between, -1L, if(has_end, first, {never})) as head_to",
+        f"if(has_end, last + 1, if(between, first_seq, {never})) as tail_from",
     )
     # The last piece holds the closing bracket and has no "}" behind it.
     sound = F.expr(
-        f"sum(balance) over {whole} = -1 and sum(parity) over {whole} % 2 = 0 "
-        f"and sum(n_bytes) over {whole} = file_size + 1"
+        f"sum(side.balance) over ({file}) = -1 and sum(parity) over ({file}) % 2 = 0 "
+        f"and sum(n_bytes) over ({file}) = file_size + 1 "
+        "and coalesce(depth + low, 1) >= 1 and (not is_last or tail_from = last_seq)"
     )
     problem = F.raise_error(F.concat(F.lit("malformed JSON array in "), F.col("src_file")))
-    return summed.select(
-        "src_idx",
-        "src_file",
-        "block_start",
-        F.when(sound, F.col("in_string")).otherwise(problem.cast("boolean")).alias("in_string"),
-        F.expr(f"coalesce(sum(balance) over {before}, 0)").alias("depth"),
+    return placed.select(
+        *_SPLIT,
+        F.when(sound, F.col("head_to")).otherwise(problem.cast("long")).alias("head_to"),
+        "tail_from",
+        F.expr("if(is_last, last_seq, -1L)").alias("closing_seq"),
+        "first_seq",
+        F.expr(f"coalesce(sum(int(not is_last and tail_from <= last_seq)) over {before}, 0)").alias("n_before"),
+    )
+
+
+def _crossing(pieces: DataFrame) -> DataFrame:
+    """The elements that lie in several splits."""
+    start = F.col("pieces")[0]
+    body = F.array_join(F.col("pieces")["value"], "}")
+    before = F.when(start["opens_file"], F.lit(_BEFORE_FIRST)).otherwise(F.lit(_BEFORE_NEXT))
+    problem = F.raise_error(F.concat(F.lit("malformed JSON array of objects in "), F.col("src_file"))).cast("string")
+    element = F.when(body.rlike(_BEFORE_FIRST) | body.rlike(_BEFORE_NEXT), F.regexp_replace(body, before, F.lit("")))
+    part = F.struct("block_start", "seq", F.expr("block_start = 0 and seq = first_seq").alias("opens_file"), "value")
+    return (
+        pieces.filter("(seq <= head_to or seq >= tail_from) and seq != closing_seq")
+        .withColumn("element", F.expr("n_before + int(seq > head_to)"))
+        .groupBy("src_idx", "src_file", "element")
+        .agg(F.array_sort(F.collect_list(part)).alias("pieces"))
+        .select(
+            "src_idx",
+            "src_file",
+            start["block_start"].alias("block_start"),
+            start["seq"].alias("seq"),
+            F.concat(F.coalesce(element, problem), F.lit("}")).alias("value"),
+        )
     )
 
 
 def read_array_elements(spark: SparkSession, paths: Sequence[str], src_idx: int = 0) -> DataFrame:
     """One row ``(src_idx, src_file, block_start, seq, value)`` per element, ``value`` its text."""
-    pieces = spark.read.option("lineSep", "}").text(list(paths)).select(
+    text = spark.read.option("lineSep", "}").text(list(paths))
+    pieces = text.select(
         F.lit(src_idx).alias("src_idx"),
         F.col("_metadata.file_path").alias("src_file"),
         F.col("_metadata.file_size").alias("file_size"),
@@ -188,36 +305,12 @@ def read_array_elements(spark: SparkSession, paths: Sequence[str], src_idx: int
         F.monotonically_increasing_id().alias("seq"),
         F.col("value"),
     )
-    split_key = ["src_idx", "src_file", "block_start"]
     states = _split_states(pieces)
-    if _split_count(spark, paths) <= MAX_BROADCAST_SPLITS:
-        with_state = pieces.join(F.broadcast(states), split_key)
-    else:
-        # Splits are small, so this shuffle is even; the sort brings pieces back in order.
-        with_state = pieces.join(states.hint("merge"), split_key).sortWithinPartitions(
-            *split_key, "seq"
-        )
-    parts = with_state.mapInPandas(_elements, _PART)
-    is_whole = F.col("starts") & F.col("ends")
-
-    in_file = "(partition by src_idx, src_file order by block_start, seq)"
-    crossing = (
-        parts.filter(~is_whole)
-        .withColumn("element", F.expr(f"sum(int(starts)) over {in_file}"))
-        .groupBy("src_idx", "src_file", "element")
-        .agg(
-            F.array_sort(F.collect_list(F.struct("block_start", "seq", "value"))).alias("pieces"),
-            F.max("ends").alias("complete"),
-        )
-        .select(
-            "src_idx",
-            "src_file",
-            F.col("pieces")[0]["block_start"].alias("block_start"),
-            F.col("pieces")[0]["seq"].alias("seq"),
-            F.when(F.col("complete"), F.array_join(F.col("pieces")["value"], ""))
-            .otherwise(F.raise_error(F.concat(F.lit("unterminated element in "), F.col("src_file"))).cast("string"))
-            .alias("value"),
-        )
-    )
-    columns = ["src_idx", "src_file", "block_start", "seq", "value"]
-    return parts.filter(is_whole).select(*columns).unionByName(crossing.select(*columns))
+    broadcast = _most_splits(spark, text) <= MAX_BROADCAST_SPLITS
+    # Both uses read all columns of the states, so that Spark works them out once.
+    placed = pieces.drop("file_size").join(F.broadcast(states) if broadcast else states.hint("merge"), _SPLIT)
+    inner = placed.filter("seq > head_to and (seq < tail_from or seq = closing_seq)")
+    if not broadcast:
+        # Splits are small, so that shuffle is even; the sort brings pieces back in order.
+        inner = inner.sortWithinPartitions(*_SPLIT, "seq")
+    return inner.mapInArrow(_elements, _ELEMENT).unionByName(_crossing(placed))

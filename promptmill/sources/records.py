@@ -11,7 +11,7 @@ import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -156,8 +156,8 @@ def sniff_layout(spark: SparkSession, paths: str | Sequence[str]) -> tuple[list[
     that.  The work on the driver is one byte per file, like a file listing; name the layout to
     ``read_records`` to leave it out.
     """
-    listing = spark.read.format("binaryFile").load([paths] if isinstance(paths, str) else list(paths))
-    files = sorted(r.path for r in listing.select("path").toLocalIterator())
+    listing = spark.read.text([paths] if isinstance(paths, str) else list(paths))
+    files = sorted(unquote(f) for f in listing.inputFiles())
     chars = _first_char_of_files(spark, files)
     arrays = [f for f, c in zip(files, chars) if c == "["]
     lines = [f for f, c in zip(files, chars) if c != "["]

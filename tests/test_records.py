@@ -44,6 +44,25 @@ def test_array_equals_json_load(spark, tmp_path, indent, split_bytes):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+@pytest.mark.parametrize("split_bytes", [7, 23, 64])
+def test_tiny_splits_between_odd_strings(spark, tmp_path, split_bytes):
+    rng = random.Random(split_bytes)
+    signs = ["}", "{", "]", "[", '"', "\\", ",", ":", "\n", "é", " "]
+    data = [[]]
+    for n in (1, 2, 9):
+        data.append([{"".join(rng.choices(signs, k=rng.randrange(6))): rng.choice([{}, [{}, [[]]], "}" * 9, "\\" * 3])} for _ in range(n)])
+    data.append([{}, {}, {"a": {"b": {"c": "]},{"}}}])
+    for i, rows in enumerate(data):
+        (tmp_path / f"{i}.json").write_text(json.dumps(rows, ensure_ascii=False, indent=rng.choice([None, 1])))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert _raw(read_records(spark, str(tmp_path))) == [r for rows in data for r in rows]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_array_without_broadcast(spark, tmp_path, monkeypatch):
     data = list(_records(30, random.Random(5)))
     path = tmp_path / "data.json"
