@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.types import VariantVal
 
-from promptmill.functions.json_variant import variant_bytes
+from promptmill.functions.json_variant import _array, variant_bytes
 from promptmill.sources.chat import parse_chat
 from promptmill.sources.records import lines_with_provenance, parse_records
 
@@ -41,6 +42,39 @@ def test_refuses_what_json_refuses(text):
     assert (variant_bytes(text) is not None) == valid
 
 
+_BRACKETS = st.text(alphabet="[]", max_size=12) | st.text(alphabet='[]{},:"a1 ', max_size=14)
+
+
+@settings(max_examples=500, deadline=None)
+@given(_BRACKETS, st.integers(0, 400), st.integers(-1, 1))
+def test_runs_of_brackets(inner, depth, missing):
+    text = "[" * depth + inner + " ]" * (depth + missing)
+    try:
+        value = json.loads(text)
+    except ValueError:
+        assert variant_bytes(text) is None
+        return
+    if len(text) < 20:
+        assert json.loads(VariantVal(*variant_bytes(text)).toJson()) == value
+    # The same bytes as level by level: a comment of white space between brackets is no run.
+    levels = inner.strip() or "[]"
+    if depth and not missing and levels == "[]":
+        expected = variant_bytes("[]")[0]
+        for _ in range(depth):
+            expected = _array([expected])
+        assert variant_bytes("[" * depth + "[]" + "]" * depth)[0] == expected
+
+
+def test_deep_lists_take_linear_time():
+    def seconds(depth):
+        began = time.process_time()
+        assert len(variant_bytes('{"a":' + "[" * depth + "1" + "]" * depth + "}")[0]) > 4 * depth
+        return time.process_time() - began
+
+    seconds(1000)
+    assert seconds(400_000) < 5
+
+
 _LONG = [
     json.dumps({"messages": [{"role": "user", "content": "y" * 25_000_000}]}),
     '{"messages":[{"role":"user","content":"n"}],"n":' + "7" * 1500 + "}",
