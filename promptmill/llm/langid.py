@@ -12,9 +12,8 @@ The best of centred cosines is never negative, so it cannot tell a document that
 ``SHARE`` of the cosine that all but the lowest tenth of the language's documents of its length reach
 (the length in classes of powers of two; each document compared with the sum of the others).
 
-Learning takes up to ``DOCS_PER_LANGUAGE`` documents of each of the ``LANGUAGES`` most frequent
-languages, chosen by a hash of doc_id (documented bounds on the fit, nothing else); prediction reads
-every whole text.
+Sums and thresholds are learned from every whole text of a known language (of the ``LANGUAGES`` most
+frequent ones); nothing is drawn.  The thresholds come from exact counts in bins of the cosine.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; with nothing to learn
 from, every document is ``und``; equal cosines go to the alphabetically first language; documents of
@@ -28,14 +27,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.worker import once_per_worker
 
 DIMENSIONS = 1024
 SEED = 20_240_607
-DOCS_PER_LANGUAGE = 5_000
 #: More than there are codes of languages; a bound on what the driver and the workers hold.
 LANGUAGES = 8192
 #: Sequences whose vectors a worker remembers, and documents bundled at once.
@@ -48,6 +46,8 @@ _SCALE = 10_000
 SHARE = 0.5
 LEAST_ROWS = 20
 _CLASSES = 32
+#: Bins of a cosine's unit.
+_BINS = 100_000
 
 
 class Bundler:
@@ -134,17 +134,15 @@ def bundler(dimensions: int) -> Bundler:
     return once_per_worker(("bundler", dimensions, SEED), lambda: Bundler(dimensions), alone=True)
 
 
-def _learned_from(docs: DataFrame, per_language: int) -> DataFrame:
-    known = docs.filter("lang is not null and doc_id is not null").select("doc_id", "text", "lang")
+def _learned_from(docs: DataFrame) -> DataFrame:
+    known = docs.filter("lang is not null and doc_id is not null").select("text", "lang")
     counts = known.groupBy("lang").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "lang").limit(LANGUAGES)
-    # A hash in 0..2^20-1 below the share that the bound leaves of the language.
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    return known.join(F.broadcast(counts), "lang").filter(draw * F.col("_n") <= F.lit(per_language << 20))
+    return known.join(F.broadcast(counts.select("lang")), "lang", "left_semi")
 
 
-def sums_by_language(docs: DataFrame, dimensions: int = DIMENSIONS, per_language: int = DOCS_PER_LANGUAGE) -> dict[str, np.ndarray]:
+def sums_by_language(docs: DataFrame, dimensions: int = DIMENSIONS) -> dict[str, np.ndarray]:
     """The sum of the unit vectors of each language of ``docs`` (doc_id, text, lang)."""
-    chosen = _learned_from(docs, per_language)
+    chosen = _learned_from(docs)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -169,9 +167,9 @@ def sums_by_language(docs: DataFrame, dimensions: int = DIMENSIONS, per_language
     return {lang: v / _SCALE for lang, v in found.items() if v.any()}
 
 
-def train(docs: DataFrame, dimensions: int = DIMENSIONS, per_language: int = DOCS_PER_LANGUAGE) -> dict[str, np.ndarray]:
+def train(docs: DataFrame, dimensions: int = DIMENSIONS) -> dict[str, np.ndarray]:
     """Prototypes by language of ``docs`` (doc_id, text, lang); all of them may be learned from."""
-    sums = sums_by_language(docs, dimensions, per_language)
+    sums = sums_by_language(docs, dimensions)
     prototypes = {lang: v / np.linalg.norm(v) for lang, v in sums.items()}
     if len(prototypes) > 1:
         mean = np.mean(list(prototypes.values()), axis=0)
@@ -209,12 +207,13 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], columns: tuple[s
     return chosen.mapInArrow(batches, f"{schema}, lang_pred string, score double")
 
 
-def least_cosines(docs: DataFrame, sums: dict[str, np.ndarray], per_language: int = DOCS_PER_LANGUAGE) -> np.ndarray:
+def least_cosines(docs: DataFrame, sums: dict[str, np.ndarray]) -> np.ndarray:
     """The cosine from which a document is like a language: a row per language, a column per length class.
 
     A class of too few rows takes the next shorter one; shorter than any, the shortest one scaled with
     the root of the length.  A language without classes takes the lowest of the others; without any
-    class at all, three deviations of the cosine of a random vector.
+    class at all, three deviations of the cosine of a random vector.  All documents of the languages
+    count; a class's lowest tenth is found from counts of bins, of at most two ``_BINS`` a class.
     """
     langs = list(sums)
     dimensions = len(sums[langs[0]]) if langs else DIMENSIONS
@@ -240,9 +239,13 @@ def least_cosines(docs: DataFrame, sums: dict[str, np.ndarray], per_language: in
 
     found = np.full((len(langs), _CLASSES), np.nan)
     if langs:
-        rows = _learned_from(docs, per_language).select("lang", "text").mapInArrow(cosines, "lang long, class long, cosine double")
-        grouped = rows.groupBy("lang", "class").agg(F.percentile_approx("cosine", 0.1, 10_000).alias("low"), F.count("*").alias("n"))
-        for row in grouped.filter(F.col("n") >= LEAST_ROWS).collect():
+        rows = _learned_from(docs).select("lang", "text").mapInArrow(cosines, "lang long, class long, cosine double")
+        group = ["lang", "class"]
+        bins = rows.groupBy(*group, F.floor(F.col("cosine") * _BINS).alias("bin")).agg(F.count("*").alias("n"))
+        upto = bins.withColumn("upto", F.sum("n").over(Window.partitionBy(*group).orderBy("bin")))
+        upto = upto.withColumn("all", F.sum("n").over(Window.partitionBy(*group)))
+        reached = upto.filter((F.col("all") >= LEAST_ROWS) & (F.col("upto") * 10 >= F.col("all")))
+        for row in reached.groupBy(*group).agg((F.min("bin") / _BINS).alias("low")).collect():
             found[row["lang"], row["class"]] = SHARE * row["low"]
     for own in found:
         having = np.flatnonzero(~np.isnan(own))

@@ -121,3 +121,20 @@ def test_rows_that_repeat_a_rated_id_count_once(spark, make_docs, rated):
     once = quality.train(make_docs(rows), labels)
     again = quality.train(make_docs(rows + [rows[0]] * 50 + [rows[1]] * 70), labels)
     assert np.array_equal(once.weights, again.weights) and np.array_equal(once.thresholds, again.thresholds)
+
+
+def test_every_document_counts_for_sums_and_thresholds(spark):
+    words = ["alpha", "bravo", "lima", "oscar", "tango", "zulu", "kilo"]
+    texts = [" ".join(words[(i * k) % 7] for k in range(1, 2 + i % 6)) + f" {chr(97 + i % 26)}" for i in range(6_500)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)] + [(None, "alpha", "en"), (1, "bravo", None)], "doc_id long, text string, lang string")
+    vectors, lengths = langid.Bundler(64).bundle(texts, lengths=True)
+    whole = np.rint(vectors * 10_000).astype(np.int64).sum(axis=0) / 10_000
+    sums = langid.sums_by_language(docs, dimensions=64)
+    assert np.array_equal(sums["en"], whole)
+    least = langid.least_cosines(docs, sums)
+    unit = vectors.astype(np.float64)
+    dots = unit @ whole
+    cosines = (dots - 1) / np.sqrt(whole @ whole - 2 * dots + 1)
+    for size in set(np.log2(lengths).astype(int)):
+        own = np.sort(cosines[np.log2(lengths).astype(int) == size])
+        assert abs(least[0, size] - 0.5 * own[-(-len(own) // 10) - 1]) <= 1e-5
