@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import cut_at_stop, py_strip
 from ..sources.config import ModelSpec
 from ..sources.roster import roster_column, roster_table
+from .sizes import parts_for
 from .skew import join_lookup
 
 
@@ -30,8 +31,12 @@ def join_predictions(pairs: DataFrame, predictions: DataFrame, item_key: str = "
     """Bring stored predictions to their items; an item without one gets an empty prediction.
 
     Two predictions of a model for one item end the job: counting the item twice would be wrong.
+    Both sides are dealt by the key to as many partitions as their size needs (both are read once more
+    for that), so what a task sorts does not grow with the tables.
     """
     key = ["model_idx", item_key]
+    parts = parts_for(pairs, predictions)
+    pairs, predictions = pairs.repartition(parts, *key), predictions.repartition(parts, *key)
     stored = predictions.groupBy(*key).agg(F.count("*").alias("_n"), F.first("prediction").alias("_prediction"))
     twice = F.raise_error(F.concat(F.lit("two predictions for item "), F.col(item_key).cast("string")))
     one = F.when(F.col("_n") > 1, twice.cast("string")).otherwise(F.coalesce("_prediction", F.lit("")))
