@@ -17,12 +17,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.variants import is_object, with_strict_json
+from ..operators.sizes import parts_for
 from .json_array import read_array_elements
 
 PROVENANCE = ["src_idx", "src_file", "block_start", "seq"]
 # What a line is called wherever its files lie and however they are split.
 IDENTITY = ["src_idx", "src_path", "line_no"]
 _SNIFF_THREADS = 32
+#: Rows numbered together.
+_BLOCK_ROWS = 1024
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], src_idx: int = 0) -> DataFrame:
@@ -104,15 +107,18 @@ def with_record_identity(rows: DataFrame, roots: Sequence[str]) -> DataFrame:
     """``rows`` (one per record, with provenance) with ``src_path`` and ``record_no`` added.
 
     The number counts the records of a file from 1, blank lines and layout aside, so it does not
-    depend on how files are split or where they lie.  Rows are numbered by input split, and the counts
-    of the splits are summed up along each file.  Hand in a written table: it is read twice.
+    depend on how files are split or where they lie.  Rows are numbered by blocks of an input split, and
+    the counts of the blocks are summed up along each file, so no task holds a whole split.  Rows go to
+    as many partitions as their size needs.  Hand in a written table: it is read three times.
     """
-    split = ["src_idx", "src_file", "block_start"]
-    in_split = f"row_number() over (partition by {', '.join(split)} order by seq)"
-    along = "sum(n) over (partition by src_idx, src_file order by block_start rows between unbounded preceding and 1 preceding)"
-    counts = rows.groupBy(*split).agg(F.count("*").alias("n"))
-    starts = counts.select(*split, F.coalesce(F.expr(along), F.lit(0)).alias("_before"))
-    numbered = rows.withColumn("_place", F.expr(in_split)).join(starts, split)
+    block = ["src_idx", "src_file", "block_start", "_block"]
+    placed = rows.withColumn("_block", F.floor(F.col("seq") / _BLOCK_ROWS))
+    in_block = f"row_number() over (partition by {', '.join(block)} order by seq)"
+    along = "sum(n) over (partition by src_idx, src_file order by block_start, _block rows between unbounded preceding and 1 preceding)"
+    counts = placed.groupBy(*block).agg(F.count("*").alias("n"))
+    starts = counts.select(*block, F.coalesce(F.expr(along), F.lit(0)).alias("_before"))
+    dealt = placed.repartition(parts_for(rows), *block)
+    numbered = dealt.withColumn("_place", F.expr(in_block)).join(starts, block)
     columns = [*rows.columns, relative_path(roots).alias("src_path"), (F.col("_before") + F.col("_place")).alias("record_no")]
     return numbered.select(*columns)
 
