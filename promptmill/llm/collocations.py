@@ -24,12 +24,13 @@ longer than a slice are cut behind a separator of pieces; a piece without one is
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.worker import once_per_worker
@@ -43,6 +44,7 @@ COVERED_PERCENT = 80
 SCORE_SCALE = 2_000_000
 MOST_ROWS = 2000
 SLICE_BYTES = 1 << 20
+BATCH_ROWS = 2_000
 LEAST_BITS, MOST_BITS, BITS_EACH = 1 << 20, 1 << 28, 16
 _PART_BITS = 1 << 20
 
@@ -293,15 +295,29 @@ def _phrases(piece: Slice, n: int, at: np.ndarray, found: np.ndarray, numbers: n
     return pa.RecordBatch.from_arrays(columns, names=["lang", "n", "phrase", "a"])
 
 
+@contextmanager
+def _short_batches(spark: SparkSession) -> Iterator[None]:
+    """Texts go to Python at most ``BATCH_ROWS`` at a time: a batch is held by the JVM and by Python at
+    once, beside the slice that is worked on."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def frequent_phrases(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Phrases (lang, n, phrase, a) and words per language (lang, n) of ``docs`` (lang, text)."""
-    words = materialize(_counted(docs, (1,), 1, None), "words")
-    totals = words.filter("n = 0").select("lang", F.col("c").alias("n"))
-    frequent = words.filter("n > 0").select("fp")
-    for lengths, level in (((2,), 1), ((3, 4), 2)):
-        found = materialize(_counted(docs, lengths, level, bit_map(frequent)), "runs")
-        frequent = frequent.unionByName(found.select("fp"))
-    return materialize(_texts(docs, bit_map(frequent)), "phrases"), totals
+    with _short_batches(docs.sparkSession):
+        words = materialize(_counted(docs, (1,), 1, None), "words")
+        totals = words.filter("n = 0").select("lang", F.col("c").alias("n"))
+        frequent = words.filter("n > 0").select("fp")
+        for lengths, level in (((2,), 1), ((3, 4), 2)):
+            found = materialize(_counted(docs, lengths, level, bit_map(frequent)), "runs")
+            frequent = frequent.unionByName(found.select("fp"))
+        return materialize(_texts(docs, bit_map(frequent)), "phrases"), totals
 
 
 def _exact(column: Column) -> Column:

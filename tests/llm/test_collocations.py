@@ -98,3 +98,11 @@ def test_bit_map_holds_all(spark):
     assert known.has(np.array(fps, np.int64).view(np.uint64)).all()
     others = np.random.default_rng(0).integers(0, 2**63, 1000, dtype=np.uint64)
     assert known.has(others).sum() < 10
+
+
+def test_texts_go_to_python_in_short_batches(spark, make_docs, monkeypatch):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen, read = spark.conf.get(key), [], co._read
+    monkeypatch.setattr(co, "_read", lambda docs: seen.append(int(spark.conf.get(key))) or read(docs))
+    co.frequent_phrases(make_docs([(1, "a b a b", "en")]))
+    assert len(seen) == 4 and max(seen) <= 2_000 and spark.conf.get(key) == before
