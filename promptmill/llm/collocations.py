@@ -4,15 +4,15 @@ Phrases are runs of up to ``LONGEST`` words inside a piece of text.  Their finge
 polynomials in numpy: sums over the bytes of a slice of texts give a value for every word, sums over
 these values a fingerprint for every run of words, language and length mixed in.
 
-1. Fingerprints are counted, level by level.  A slice counts its own, Spark adds these up (partial
-   sums before the shuffle).  A run is only counted where the runs inside it are frequent: words,
-   then pairs, then three and four words.
+1. Fingerprints are counted, level by level.  A block of slices counts its own, and the blocks' counts
+   are added up, as packed sorted arrays dealt by ranges.  A run is only counted where the runs inside
+   it are frequent: words, then pairs, then three and four words.
 2. What is frequent so far goes to the tasks as a bit map over fingerprints.  Its size follows the
    number of frequent ones up to ``MOST_BITS``; bits that are set by chance only let more through.
-3. Frequent phrases are read out.  In a slice every fingerprint points to its first occurrence; all
-   its other occurrences are compared with the words there, and text is cut out for the first only.
-   Spark adds up by text, so the counts are exact and what collided is told apart.  No other phrase
-   is ever written as text.
+3. Frequent phrases are read out.  A block numbers its words, compared byte by byte, and its runs by
+   the numbers of their words, so runs of one number are equal; the text of the first goes on, packed
+   with those of its range.  They are added up by text, so the counts are exact and what collided is
+   told apart.  No other phrase is ever written as text.
 
 Phrases are scored by their worst cut into two; a phrase inside a longer one nearly as frequent goes.
 
@@ -47,6 +47,12 @@ SLICE_BYTES = 1 << 20
 BATCH_ROWS = 2_000
 LEAST_BITS, MOST_BITS, BITS_EACH = 1 << 20, 1 << 28, 16
 _PART_BITS = 1 << 20
+#: Fingerprints added up at once, and words of a block whose phrases are read out at once.
+BLOCK_RUNS, BLOCK_WORDS = 1 << 22, 1 << 19
+#: Text of the table for each part that fingerprints and phrases are dealt to; beyond ``MOST_PARTS`` more.
+PART_BYTES, MOST_PARTS, MOST_PART_BYTES = 4 << 20, 4096, 64 << 20
+#: Text of phrases sent at once.
+SENT_BYTES = 4 << 20
 
 _BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _SPACE, _SEPARATOR = 1, 2
@@ -142,35 +148,81 @@ class Slice:
     def totals(self) -> np.ndarray:
         return np.bincount(self.lang, minlength=len(self.names))
 
-    def fingerprints(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places where a run of ``n`` words inside a piece begins, and its fingerprint."""
+    def places(self, n: int) -> np.ndarray:
+        """Where a run of ``n`` words inside a piece begins."""
         count = len(self.words)
-        if count < n:
-            return np.empty(0, np.int64), np.empty(0, np.uint64)
-        at = np.flatnonzero(self.piece[n - 1 :] == self.piece[: count - n + 1])
+        return np.flatnonzero(self.piece[n - 1 :] == self.piece[: count - n + 1]) if count >= n else np.empty(0, np.int64)
+
+    def fingerprints(self, n: int, at: np.ndarray) -> np.ndarray:
+        """Fingerprints of the runs of ``n`` words at ``at``."""
         found = self.words[at] if n == 1 else runs_of(self.words, at, at + n, _WORD_BASE)
-        return at, _mixed(found + self.seed[at] * np.uint64(2 * n + 1))
-
-    def numbers(self, at: np.ndarray) -> np.ndarray:
-        """A number for each word of the places ``at``, the same for equal words only; -1 elsewhere."""
-        numbers = np.full(len(self.words), -1, np.int64)
-        _, first, inverse = np.unique(self.words[at], return_index=True, return_inverse=True)
-        own, other = at, at[first][inverse]
-        size = self.ends[own] - self.starts[own]
-        equal = np.array_equal(size, self.ends[other] - self.starts[other])
-        if equal:
-            place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            equal = np.array_equal(self.data[np.repeat(self.starts[own], size) + place], self.data[np.repeat(self.starts[other], size) + place])
-        if equal:
-            numbers[at] = inverse
-        else:
-            # Two words of one value: told apart by their bytes.
-            known: dict[bytes, int] = {}
-            numbers[at] = [known.setdefault(self.data[s:e].tobytes(), len(known)) for s, e in zip(self.starts[at], self.ends[at])]
-        return numbers
-
-    def word(self, i: int) -> str:
-        return self.data[self.starts[i] : self.ends[i]].tobytes().decode()
+        return _mixed(found + self.seed[at] * np.uint64(2 * n + 1))
+
+    def spaced(self) -> np.ndarray:
+        """The bytes of all words, a space behind each."""
+        size = self.ends - self.starts + 1
+        ends = np.cumsum(size)
+        found = np.append(self.data, np.uint8(0))[_within(self.starts, size)]
+        found[ends - 1] = 0x20
+        return found
+
+
+def _within(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of the ranges that begin at ``begins``, one range after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(begins - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each of ``keys``, in order of appearance, and where each number comes first."""
+    codes = pa.array(keys).dictionary_encode().indices.to_numpy()
+    return codes, np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1))
+
+
+class Block:
+    """Words of some slices, with the runs of each length (place and fingerprint) that may be frequent."""
+
+    def __init__(self, slices: list[Slice], runs: list[list[tuple[np.ndarray, np.ndarray]]]):
+        self.data = np.concatenate([s.spaced() for s in slices])
+        sizes = np.concatenate([s.ends - s.starts for s in slices]) + 1
+        self.ends = np.cumsum(sizes)
+        self.starts = self.ends - sizes
+        self.names = sorted({name for s in slices for name in s.names})
+        place = {name: i for i, name in enumerate(self.names)}
+        self.lang = np.concatenate([np.array([place[x] for x in s.names], np.int64)[s.lang] for s in slices])
+        shift = np.cumsum([0, *(len(s.words) for s in slices)])
+        self.runs = [tuple(np.concatenate(x) for x in zip(*((own[n][0] + k, own[n][1]) for own, k in zip(runs, shift)))) for n in range(LONGEST)]
+
+    def _words(self) -> tuple[np.ndarray, np.ndarray]:
+        """``_distinct`` of the words that may be frequent, by their bytes and language."""
+        at, found = self.runs[0]
+        codes, first = _distinct(found)
+        size, other = self.ends[at] - self.starts[at], at[first][codes]
+        equal = np.array_equal(size, self.ends[other] - self.starts[other]) and np.array_equal(self.lang[at], self.lang[other])
+        if not (equal and np.array_equal(self.data[_within(self.starts[at], size)], self.data[_within(self.starts[other], size)])):
+            # Two words of one fingerprint: told apart by their bytes.
+            known: dict[tuple, int] = {}
+            words = zip(self.lang[at].tolist(), self.starts[at].tolist(), self.ends[at].tolist())
+            codes, first = _distinct(np.array([known.setdefault((x, self.data[s:e].tobytes()), len(known)) for x, s, e in words], np.int64))
+        return codes, first
+
+    def phrases(self) -> tuple[np.ndarray, ...]:
+        """Of every distinct phrase: a place, its number of words, its fingerprint and how often it occurs.
+
+        A run of n words is told by the number of its first n - 1 words and that of its last word, so
+        equal numbers mean equal words whatever the fingerprints are.  Both are there: ``_to_read``.
+        """
+        out, words, shorter = [], np.empty(0, np.int64), np.empty(0, np.int64)
+        for n, (at, found) in enumerate(self.runs, 1):
+            if n == 1:
+                codes, first = self._words()
+            else:
+                codes, first = _distinct(shorter[at] * len(words) + words[at + n - 1])
+            shorter = np.full(len(self.lang), -1, np.int64)
+            shorter[at] = codes
+            words = shorter if n == 1 else words
+            out.append((at[first], np.full(len(first), n), found[first], np.bincount(codes)))
+        return tuple(np.concatenate(x) for x in zip(*out))
 
 
 class BitMap:
@@ -185,16 +237,38 @@ class BitMap:
         return (self.words[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def _through(piece: Slice, n: int, known: BitMap, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """Runs of ``n`` words all of whose runs of ``level`` words may be frequent."""
-    at, found = piece.fingerprints(n)
-    inner, inner_found = (at, found) if level == n else piece.fingerprints(level)
-    good = np.zeros(len(piece.words), bool)
-    good[inner] = known.has(inner_found)
-    keep = np.ones(len(at), bool)
-    for i in range(n - level + 1):
-        keep &= good[at + i]
-    return at[keep], found[keep]
+def _marked(piece: Slice, at: np.ndarray) -> np.ndarray:
+    marks = np.zeros(len(piece.words), bool)
+    marks[at] = True
+    return marks
+
+
+def _to_count(piece: Slice, lengths: Sequence[int], known: BitMap | None, level: int) -> Iterator[np.ndarray]:
+    """Fingerprints of the runs of each length, all of whose runs of ``level`` words may be frequent."""
+    if known is not None:
+        inner = piece.places(level)
+        good = _marked(piece, inner[known.has(piece.fingerprints(level, inner))])
+    for n in lengths:
+        at = piece.places(n)
+        if known is not None:
+            keep = np.ones(len(at), bool)
+            for i in range(n - level + 1):
+                keep &= good[at + i]
+            at = at[keep]
+        yield piece.fingerprints(n, at)
+
+
+def _to_read(piece: Slice, known: BitMap) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each length, places and fingerprints of the runs that may be frequent, as may those inside them."""
+    out, good = [], None
+    for n in range(1, LONGEST + 1):
+        at = piece.places(n)
+        at = at if good is None else at[good[at] & good[at + 1]]
+        found = piece.fingerprints(n, at)
+        keep = known.has(found)
+        out.append((at[keep], found[keep]))
+        good = _marked(piece, at[keep])
+    return out
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[Slice]:
@@ -206,28 +280,77 @@ def _read(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
 
 
-def _counted(docs: DataFrame, lengths: Sequence[int], level: int, bits: bytes | None) -> DataFrame:
-    """Rows n, fp, c, lang: how often each fingerprint occurs; with ``bits`` None also, as n = 0, the
-    number of words of each language."""
-    sent = docs.sparkSession.sparkContext.broadcast(bits)
+def _parts(docs: DataFrame) -> int:
+    """How many parts fingerprints and phrases of ``docs`` are dealt to."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(1, min(-(-size // PART_BYTES), MOST_PARTS), -(-size // MOST_PART_BYTES))
+
+
+def _cuts(found: np.ndarray, parts: int) -> np.ndarray:
+    """Where each part of the sorted fingerprints begins, and their number."""
+    bounds = np.array([-(-(i << 64) // parts) for i in range(parts)], np.uint64)
+    return np.append(np.searchsorted(found, bounds), len(found))
+
+
+def _packed(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The bytes of ``values`` between each two of ``cuts``."""
+    offsets = (cuts * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _unpacked(rows: pa.Table, name: str, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(rows.column(name).to_pylist()), kind)
+
+
+def _counted(docs: DataFrame, lengths: Sequence[int], level: int, bits: bytes | None, parts: int) -> DataFrame:
+    """Rows fp, c, lang: how often each frequent fingerprint occurs; with ``bits`` None also, with a
+    language and no fp, the number of words of each language.
+
+    Fingerprints travel as packed arrays, a row for each part of their range, and are added up by part.
+    """
+    sent, least = docs.sparkSession.sparkContext.broadcast(bits), LEAST_COUNT
+    names = ["part", "fps", "times", "lang", "c"]
+
+    def dealt(found: list[np.ndarray]) -> pa.RecordBatch:
+        values, times = np.unique(np.concatenate(found), return_counts=True)
+        cuts = _cuts(values, parts)
+        columns = [pa.array(np.arange(parts, dtype=np.int32)), _packed(values, cuts), _packed(times.astype(np.uint32), cuts), pa.nulls(parts, pa.string()), pa.nulls(parts, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(np.diff(cuts) > 0))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = BitMap(sent.value) if sent.value is not None else None
+        totals: dict[str, int] = {}
+        held, size = [], 0
         for batch in batches:
             for piece in _slices(batch):
                 if known is None:
-                    size = len(piece.names)
-                    columns = [pa.array([0] * size, pa.int32()), pa.array([0] * size, pa.int64()), pa.array(piece.totals()), pa.array(piece.names)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["n", "fp", "c", "lang"])
-                for n in lengths:
-                    _, found = piece.fingerprints(n) if known is None else _through(piece, n, known, level)
-                    found, times = np.unique(found, return_counts=True)
-                    columns = [pa.array(np.full(len(found), n, np.int32)), pa.array(found.view(np.int64)), pa.array(times), pa.nulls(len(found), pa.string())]
-                    yield pa.RecordBatch.from_arrays(columns, names=["n", "fp", "c", "lang"])
-
-    rows = _read(docs).mapInArrow(count, "n int, fp long, c long, lang string")
-    counts = rows.groupBy("n", "fp", "lang").agg(F.sum("c").alias("c"))
-    return counts.filter((F.col("n") == 0) | (F.col("c") >= LEAST_COUNT))
+                    for name, total in zip(piece.names, piece.totals().tolist()):
+                        totals[name] = totals.get(name, 0) + total
+                for found in _to_count(piece, lengths, known, level):
+                    held.append(found)
+                    size += len(found)
+                if size >= BLOCK_RUNS:
+                    yield dealt(held)
+                    held, size = [], 0
+        if held:
+            yield dealt(held)
+        if totals:
+            # Parts of their own, below 0.
+            part = [-1 - crc32(name.encode()) % parts for name in totals]
+            columns = [pa.array(part, pa.int32()), pa.nulls(len(part), pa.binary()), pa.nulls(len(part), pa.binary()), pa.array(list(totals)), pa.array(list(totals.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    def added(key: tuple, rows: pa.Table) -> pa.Table:
+        if key[0].as_py() < 0:
+            sums = rows.group_by("lang", use_threads=False).aggregate([("c", "sum")])
+            return pa.table({"fp": pa.nulls(len(sums), pa.int64()), "c": sums.column("c_sum"), "lang": sums.column("lang")})
+        found = pa.table({"fp": _unpacked(rows, "fps", np.int64), "c": _unpacked(rows, "times", np.uint32).astype(np.int64)})
+        sums = found.group_by("fp", use_threads=False).aggregate([("c", "sum")])
+        sums = sums.filter(pc.greater_equal(sums.column("c_sum"), least))
+        return pa.table({"fp": sums.column("fp"), "c": sums.column("c_sum"), "lang": pa.nulls(len(sums), pa.string())})
+
+    rows = _read(docs).mapInArrow(count, "part int, fps binary, times binary, lang string, c long")
+    return rows.groupBy("part").applyInArrow(added, "fp long, c long, lang string")
 
 
 def bit_map(fingerprints: DataFrame) -> bytes:
@@ -250,49 +373,67 @@ def bit_map(fingerprints: DataFrame) -> bytes:
     return bytes(whole)
 
 
-def _texts(docs: DataFrame, bits: bytes) -> DataFrame:
+def _sent(block: Block, parts: int) -> Iterator[pa.RecordBatch]:
+    """The distinct phrases of ``block`` as packed arrays, a row for each part of their fingerprints' range."""
+    at, n, found, times = block.phrases()
+    order = np.argsort(found)
+    at, n, times = at[order], n[order], times[order].astype(np.uint32)
+    cuts = _cuts(found[order], parts)
+    begins, lang = block.starts[at], block.lang[at].astype(np.int32)
+    sizes = block.ends[at + n - 1] - 1 - begins
+    text_cuts = np.append(0, np.cumsum(sizes))[cuts]
+    first = 0
+    while first < parts:
+        last = max(first + 1, int(np.searchsorted(text_cuts, text_cuts[first] + SENT_BYTES, "right")) - 1)
+        own = slice(cuts[first], cuts[last])
+        used, codes = np.unique(lang[own], return_inverse=True)
+        inner, inner_text = cuts[first : last + 1] - cuts[first], text_cuts[first : last + 1] - text_cuts[first]
+        names = pa.array([[block.names[i] for i in used.tolist()]], pa.list_(pa.string())).take(pa.array(np.zeros(last - first, np.int64)))
+        columns = [
+            pa.array(np.arange(first, last, dtype=np.int32)), names, _packed(codes.astype(np.int32), inner), _packed(times[own], inner),
+            _packed(sizes[own].astype(np.int32), inner), _packed(block.data[_within(begins[own], sizes[own])], inner_text),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=["part", "names", "langs", "times", "sizes", "texts"]).filter(pa.array(np.diff(inner) > 0))
+        first = last
+
+
+def _texts(docs: DataFrame, bits: bytes, parts: int) -> DataFrame:
     """lang, n, phrase, a of every phrase of up to ``LONGEST`` words that is frequent."""
-    sent = docs.sparkSession.sparkContext.broadcast(bits)
+    sent, least = docs.sparkSession.sparkContext.broadcast(bits), LEAST_COUNT
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = BitMap(sent.value)
+        held, runs, size = [], [], 0
         for batch in batches:
             for piece in _slices(batch):
-                singles, _ = _through(piece, 1, known, 1)
-                numbers = piece.numbers(singles)
-                for n in range(1, LONGEST + 1):
-                    at, found = _through(piece, n, known, n)
-                    # A run is only frequent if its words are; the bit map may let others through.
-                    for i in range(n):
-                        fits = numbers[at + i] >= 0
-                        at, found = at[fits], found[fits]
-                    yield _phrases(piece, n, at, found, numbers)
-
-    rows = _read(docs).mapInArrow(cut, "lang string, n int, phrase string, a long")
-    return rows.groupBy("lang", "n", "phrase").agg(F.sum("a").alias("a")).filter(F.col("a") >= LEAST_COUNT)
-
-
-def _phrases(piece: Slice, n: int, at: np.ndarray, found: np.ndarray, numbers: np.ndarray) -> pa.RecordBatch:
-    """Distinct phrases at ``at`` with their number of occurrences."""
-    _, first, inverse, times = np.unique(found, return_index=True, return_inverse=True, return_counts=True)
-    pointed = at[first]
-    same = piece.lang[at] == piece.lang[pointed[inverse]]
-    for i in range(n):
-        same &= numbers[at + i] == numbers[pointed[inverse] + i]
-    if not same.all():
-        # Runs of one fingerprint that differ: ordered by their words instead.
-        rows = np.stack([piece.lang[at], *(numbers[at + i] for i in range(n))], axis=1)
-        _, first, times = np.unique(rows, axis=0, return_index=True, return_counts=True)
-        pointed = at[first]
-    places = [pointed + i for i in range(n)]
-    distinct, words = np.unique(np.concatenate(places), return_inverse=True) if len(pointed) else (np.empty(0, int), np.empty(0, int))
-    text = pa.array([piece.word(i) for i in distinct.tolist()], pa.string())
-    of_place = words.reshape(n, -1)
-    parts = [text.take(pa.array(of_place[i])) for i in range(n)]
-    phrase = pc.binary_join_element_wise(*parts, " ") if n > 1 else parts[0]
-    lang = pa.array(piece.names, pa.string()).take(pa.array(piece.lang[pointed]))
-    columns = [lang, pa.array(np.full(len(pointed), n, np.int32)), phrase, pa.array(times.astype(np.int64))]
-    return pa.RecordBatch.from_arrays(columns, names=["lang", "n", "phrase", "a"])
+                held.append(piece)
+                runs.append(_to_read(piece, known))
+                size += len(piece.words)
+                if size >= BLOCK_WORDS:
+                    yield from _sent(Block(held, runs), parts)
+                    held, runs, size = [], [], 0
+        if held:
+            yield from _sent(Block(held, runs), parts)
+
+    def added(rows: pa.Table) -> pa.Table:
+        place: dict[str, int] = {}
+        langs = []
+        for names, codes in zip(rows.column("names").to_pylist(), rows.column("langs").to_pylist()):
+            langs.append(np.array([place.setdefault(x, len(place)) for x in names], np.int64)[np.frombuffer(codes, np.int32)])
+        offsets = np.append(0, np.cumsum(_unpacked(rows, "sizes", np.int32), dtype=np.int64))
+        text = pa.py_buffer(b"".join(rows.column("texts").to_pylist()))
+        phrases = pa.Array.from_buffers(pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(offsets), text])
+        found = pa.table({"lang": np.concatenate(langs), "phrase": phrases, "a": _unpacked(rows, "times", np.uint32).astype(np.int64)})
+        sums = found.group_by(["lang", "phrase"], use_threads=False).aggregate([("a", "sum")])
+        sums = sums.filter(pc.greater_equal(sums.column("a_sum"), least))
+        phrase = sums.column("phrase").cast(pa.string())
+        n = pc.add(pc.count_substring(phrase, " "), 1).cast(pa.int32())
+        lang = pa.array(list(place), pa.string()).take(sums.column("lang"))
+        return pa.table({"lang": lang, "n": n, "phrase": phrase, "a": sums.column("a_sum")})
+
+    schema = "part int, names array<string>, langs binary, times binary, sizes binary, texts binary"
+    rows = _read(docs).mapInArrow(cut, schema)
+    return rows.groupBy("part").applyInArrow(added, "lang string, n int, phrase string, a long")
 
 
 @contextmanager
@@ -311,13 +452,14 @@ def _short_batches(spark: SparkSession) -> Iterator[None]:
 def frequent_phrases(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Phrases (lang, n, phrase, a) and words per language (lang, n) of ``docs`` (lang, text)."""
     with _short_batches(docs.sparkSession):
-        words = materialize(_counted(docs, (1,), 1, None), "words")
-        totals = words.filter("n = 0").select("lang", F.col("c").alias("n"))
-        frequent = words.filter("n > 0").select("fp")
+        parts = _parts(docs)
+        words = materialize(_counted(docs, (1,), 1, None, parts), "words")
+        totals = words.filter("lang IS NOT NULL").select("lang", F.col("c").alias("n"))
+        frequent = words.filter("lang IS NULL").select("fp")
         for lengths, level in (((2,), 1), ((3, 4), 2)):
-            found = materialize(_counted(docs, lengths, level, bit_map(frequent)), "runs")
+            found = materialize(_counted(docs, lengths, level, bit_map(frequent), parts), "runs")
             frequent = frequent.unionByName(found.select("fp"))
-        return materialize(_texts(docs, bit_map(frequent)), "phrases"), totals
+        return materialize(_texts(docs, bit_map(frequent), parts), "phrases"), totals
 
 
 def _exact(column: Column) -> Column:

@@ -106,3 +106,21 @@ def test_texts_go_to_python_in_short_batches(spark, make_docs, monkeypatch):
     monkeypatch.setattr(co, "_read", lambda docs: seen.append(int(spark.conf.get(key))) or read(docs))
     co.frequent_phrases(make_docs([(1, "a b a b", "en")]))
     assert len(seen) == 4 and max(seen) <= 2_000 and spark.conf.get(key) == before
+
+
+def test_small_blocks_parts_and_slices(spark, make_docs, texts, monkeypatch):
+    langs = [f"l{i}" for i in range(40)]
+    rows = [(text, langs[i % 40] if i % 3 else lang) for i, (text, lang) in enumerate(texts)] + [("copied\ttext  here again", x) for x in langs] * 3
+    for name, size in (("SLICE_BYTES", 300), ("BLOCK_RUNS", 400), ("BLOCK_WORDS", 200), ("PART_BYTES", 5_000), ("SENT_BYTES", 100), ("LEAST_COUNT", 3)):
+        monkeypatch.setattr(co, name, size)
+    _check(spark, make_docs, rows, 3, most=50)
+
+
+def test_runs_travel_packed(spark, make_docs, monkeypatch):
+    # Not a row for every run: each part of a block is one, for words (and a row a language), pairs, longer runs and phrases.
+    docs = make_docs([(i, " ".join(f"w{(i * 31 + j) % 499}" for j in range(400)), "en") for i in range(60)]).coalesce(1)
+    sent, real = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda *a, **b: sent.append(real(*a, **b)) or sent[-1])
+    phrases, totals = co.frequent_phrases(docs)
+    assert totals.collect() == [("en", 24_000)] and phrases.filter("n = 4").count() > 0
+    assert [df.count() for df in sent] == [2, 1, 1, 1]
